@@ -183,3 +183,36 @@ _LOWER = {c: c + 32 for c in range(65, 91)}
 
 def ascii_lower(s: str) -> str:
     return s.translate(_LOWER)
+
+
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def word_counts(text: pa.Array) -> np.ndarray:
+    """Number of ``SPACE_WORD`` in each text: places where a word begins."""
+    text = as_array(text)
+    raw, off = word_bytes(text)
+    if not len(raw):
+        return np.zeros(len(text), np.int64)
+    space = _IS_SPACE[raw]
+    begin = ~space
+    begin[1:] &= space[:-1]
+    first = off[:-1][off[:-1] < off[1:]]
+    begin[first] = ~space[first]
+    return np.diff(np.searchsorted(np.flatnonzero(begin), off))
+
+
+def with_word_counts(df: DataFrame, name: str = "size") -> DataFrame:
+    """``df``, with its column ``text`` replaced by the number of its words."""
+    prepare(df.sparkSession)
+    at = df.columns.index("text")
+    keep = [c for c in df.columns if c != "text"]
+    schema = df.drop("text").schema.add(name, "long")
+
+    def run(batches):
+        for b in batches:
+            n = word_counts(b.column(at))
+            yield pa.RecordBatch.from_arrays([c for i, c in enumerate(b.columns) if i != at] + [pa.array(n)], names=keep + [name])
+
+    return df.mapInArrow(run, schema)

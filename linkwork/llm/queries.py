@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, quality, token_count, toxicity
+from . import decontam, mix, quality, shard, token_count, toxicity
 from .common import table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -22,6 +22,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard.shard(table(spark, sf_dir, "documents"), shards=16)
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.mix(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, vecs = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return toxicity.score(vecs, model).select("doc_id", "held_out", "score", "predicted", F.array_join("evidence", ",").alias("evidence"))
@@ -36,5 +44,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op4_decontamination, op8_toxicity, op9_token_counts, op10_quality)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_sharding, op4_decontamination, op5_mixing, op8_toxicity, op9_token_counts, op10_quality)}
+ORACLE: dict[str, str] = {"op5_mixing": mix.ORACLE_SQL}
