@@ -151,7 +151,9 @@ _POWERS: dict[int, np.ndarray] = {}
 def _powers(n: int) -> np.ndarray:
     """Odd multipliers' powers, modulo 2**64."""
     if n not in _POWERS:
-        _POWERS[n] = np.cumprod(np.concatenate([[1], np.full(n, 0x9E3779B97F4A7C15, np.uint64)]).astype(np.uint64))
+        factors = np.full(n + 1, 0x9E3779B97F4A7C15, np.uint64)
+        factors[0] = 1
+        _POWERS[n] = np.cumprod(factors, dtype=np.uint64)
     return _POWERS[n]
 
 
