@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, imatch, mix, ngram_join, quality, shard, token_count, toxicity
+from . import decontam, html_extract, imatch, mix, ngram_join, quality, shard, token_count, toxicity
 from .common import table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -38,6 +38,10 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"), width=4, percent=85).select("doc_id", "n_shingles", "component_id", "n_linked")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, vecs = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return toxicity.score(vecs, model).select("doc_id", "held_out", "score", "predicted", F.array_join("evidence", ",").alias("evidence"))
@@ -52,5 +56,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op2_fingerprints, op3_sharding, op4_decontamination, op5_mixing, op6_ngram_join, op8_toxicity, op9_token_counts, op10_quality)}
+QUERIES = {f.__name__: f for f in (op2_fingerprints, op3_sharding, op4_decontamination, op5_mixing, op6_ngram_join, op7_html_extraction, op8_toxicity, op9_token_counts, op10_quality)}
 ORACLE: dict[str, str] = {"op5_mixing": mix.ORACLE_SQL}
