@@ -86,9 +86,10 @@ def sketch(key: DataFrame, width: int) -> np.ndarray:
 
 
 def signatures(key: DataFrame, order: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(id, node, n, prefix, vec); prefix and vec only for the first row of a node in a task."""
+    """(id, node, n, prefix, vec, hash of the text); prefix and vec only for the first row of a node in a task."""
     shared = key.sparkSession.sparkContext.broadcast(order)
     kind = key.schema["id"].dataType.simpleString()
+    key = key.select("id", "text", F.xxhash64("text").alias("hash"))
 
     def run(batches):
         rank = shared.value
@@ -114,9 +115,9 @@ def signatures(key: DataFrame, order: np.ndarray, width: int, percent: int) -> D
                 prefix.append(first.view(np.int64))
                 groups = np.bincount((u & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
                 vec.append(groups.astype("<u4" if n > 60_000 else "<u2").tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(vec, pa.binary())], ["id", "node", "n", "prefix", "vec"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(vec, pa.binary()), b.column("hash")], ["id", "node", "n", "prefix", "vec", "hash"])
 
-    return key.mapInArrow(run, f"id {kind}, node long, n long, prefix array<long>, vec binary")
+    return key.mapInArrow(run, f"id {kind}, node long, n long, prefix array<long>, vec binary, hash long")
 
 
 def buckets(sig: DataFrame) -> DataFrame:
@@ -306,10 +307,8 @@ def rest_pairs(met: DataFrame, sig: DataFrame, known: DataFrame, percent: int) -
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def join(docs: DataFrame, width: int = 4, percent: int = 85, id_col: str = "doc_id") -> DataFrame:
-    """Per document row: n_shingles, component_id, n_linked (rows of its component)."""
-    prepare(docs.sparkSession)
-    key = texts(docs, id_col)
+def classes(key: DataFrame, width: int, percent: int) -> DataFrame:
+    """(id, hash, n, cls) of each row of ``key`` (id, text): rows of equal cls are one component; cls is only a name."""
     sig = materialise(signatures(key, sketch(key, width), width, percent))
     met = materialise(buckets(sig))
     links = verify(key, sig, star_pairs(met, percent), width, percent)
@@ -317,7 +316,13 @@ def join(docs: DataFrame, width: int = 4, percent: int = 85, id_col: str = "doc_
     more = verify(key, sig, rest_pairs(met, sig, known, percent), width, percent)
     if not more.isEmpty():
         known = components(links.unionByName(more))
-    rows = sig.select("id", "node", "n").join(known, "node", "left").select("id", "n", F.coalesce("root", "node").alias("cls"))
+    return sig.select("id", "hash", "node", "n").join(known, "node", "left").select("id", "hash", "n", F.coalesce("root", "node").alias("cls"))
+
+
+def join(docs: DataFrame, width: int = 4, percent: int = 85, id_col: str = "doc_id") -> DataFrame:
+    """Per document row: n_shingles, component_id, n_linked (rows of its component)."""
+    prepare(docs.sparkSession)
+    rows = classes(texts(docs, id_col), width, percent)
     least = rows.where("n > 0").groupBy("cls").agg(F.min("id").alias("least"), F.count("*").alias("n_linked"))
     rows = rows.join(least, "cls", "left")
     alone = F.col("n") == 0
@@ -327,3 +332,25 @@ def join(docs: DataFrame, width: int = 4, percent: int = 85, id_col: str = "doc_
         F.when(alone, F.col("id")).otherwise(F.col("least")).alias("component_id"),
         F.when(alone, F.lit(1)).otherwise(F.col("n_linked")).cast("long").alias("n_linked"),
     )
+
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id") -> DataFrame:
+    """The documents with one of each component, that of the least id (then hash of the text); all columns kept.
+
+    Documents without words are alone and stay. Rows of equal id and text are
+    copies of each other, of which one stays.
+    """
+    prepare(docs.sparkSession)
+    rows = materialise(classes(texts(docs, id_col), width, percent)).where("n > 0")
+    first = rows.groupBy("cls").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("at"))
+    pairs = rows.groupBy("cls", "id", "hash").agg(F.count("*").alias("n")).join(first, "cls")
+    own = F.col("at.id").eqNullSafe(F.col("id")) & (F.col("at.hash") == F.col("hash"))
+    marks = materialise(pairs.select(F.col("id").alias("__id"), F.col("hash").alias("__hash"), own.alias("__own"), (F.col("n") > 1).alias("__many")).where("not __own or __many"))
+    few = marks.count() <= BROADCAST_NODES
+    hint = F.broadcast if few else (lambda df: df)
+    named = docs.withColumn("__hash0", F.xxhash64(F.col("text").cast("string")))
+    cond = (F.col("__hash0") == F.col("__hash")) & F.col(id_col).eqNullSafe(F.col("__id"))
+    out = named.join(hint(marks), cond, "left")
+    single = out.where(F.col("__hash").isNull()).select(*docs.columns)
+    again = out.where(F.col("__own") & F.col("__many")).dropDuplicates(["__id", "__hash"]).select(*docs.columns)
+    return single.unionByName(again)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_extract, imatch, mix, ngram_join, quality, shard, token_count, toxicity
+from . import decontam, html_extract, imatch, lm_score, mix, ngram_join, quality, shard, token_count, toxicity
 from .common import table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -22,6 +22,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -56,5 +60,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op2_fingerprints, op3_sharding, op4_decontamination, op5_mixing, op6_ngram_join, op7_html_extraction, op8_toxicity, op9_token_counts, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_fingerprints, op3_sharding, op4_decontamination, op5_mixing, op6_ngram_join, op7_html_extraction, op8_toxicity, op9_token_counts, op10_quality)}
 ORACLE: dict[str, str] = {"op5_mixing": mix.ORACLE_SQL}
