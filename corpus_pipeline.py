@@ -1,10 +1,58 @@
-"""A corpus pipeline of five operators, from documents to shards."""
+"""A corpus pipeline of five operators, from documents to shards.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
+kept; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+
+from linkwork.llm import decontam, mix, ngram_join, quality, shard
+from linkwork.llm.common import materialise, table
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a Jaccard similarity of 0.8 over five-word shingles one stays."""
+    return ngram_join.keep_one(docs, width=5, percent=80)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages are cut out; documents that are mostly benchmark text go."""
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10, max_coverage=0.5)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each source's documents as often as its target asks, twice at most."""
+    return mix.mixed(docs)
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A shard and a slot for each document."""
+    return shard.shard(docs, shards=16)
+
+
+STAGES = [
+    ("quality classifier", quality_filter),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", source_mixing),
+    ("sharding", sharding),
+]
+
+#: Trained and iterative stages have no SQL; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = materialise(docs)
+    return docs
