@@ -183,8 +183,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5
     keep = choose_terms(doc, term, y, terms) if len(y) else np.zeros(0, np.int64)
     vecs = materialise(vectors(docs, keep, id_col))
     df = np.zeros(len(keep))
-    for r in vecs.select(F.explode("term").alias("t")).groupBy("t").count().collect():  # as many rows as kept terms
-        df[r.t] = r["count"]
+
+    def count(batches):  # one row for each kept term and task
+        total = np.zeros(max(len(keep), 1), np.int64)
+        for b in batches:
+            total += np.bincount(b.column("term").flatten().to_numpy(), minlength=len(total))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["t", "n"])
+
+    for r in vecs.select("term").mapInArrow(count, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).where("n > 0").collect():
+        df[r.t] = r.n
     n_docs = vecs.count()
     idf = np.log((1 + n_docs) / (1 + df)) + 1
     shares = {r.y: r["count"] for r in labels.where(F.col(label).isNotNull() & (crc_mod(F.col("doc_id"), folds) != 0)).groupBy(F.col(label).cast("int").alias("y")).count().collect()} if len(y) else {}
