@@ -14,10 +14,12 @@ of at least ``percent``/100, exactly; the result is connected components.
    compared with the others of about its size. The links found join most
    classes without any pairs within them.
 4. What is left are pairs between different classes. The nodes of a bucket are
-   points: the counts of their shingles in 128 hash groups. An R-tree over them
+   points: the counts of their shingles in 256 hash groups. An R-tree over them
    bounds the overlap of two nodes, or of two boxes, by the summed coordinate
    minima; boxes of one class, or which can't reach the least overlap, are not
-   opened. Pairs that survive are verified on their shingles, so nothing is lost.
+   opened. A pair is taken in the first bucket that both have. Pairs that survive
+   are bounded again by 4,096 groups, then verified on their shingles, so
+   nothing is lost.
 
 Defined results: null, empty and wordless texts have no shingles and link with
 nothing (component: the own id); with fewer words than a shingle the whole
@@ -35,7 +37,9 @@ from pyspark.sql import functions as F
 from .common import encode, materialise, mix64, prepare, space_words, texts, word_hashes
 
 #: Slots of the frequency sketch, groups of the count vectors, points of a leaf.
-SLOTS, GROUPS, LEAF = 1 << 18, 128, 48
+SLOTS, GROUPS, LEAF = 1 << 18, 256, 48
+#: Groups of the finer vectors that bound single pairs, and of a node's buckets those that tell where a pair has met before.
+FINE, EARLY = 4096, 6
 #: Node ids up to which they are broadcast to pick their texts; beyond, the join shuffles.
 BROADCAST_NODES = 1_000_000
 #: Members that are compared with one leader in a task.
@@ -65,6 +69,16 @@ def least_overlap(n, percent: int):
     return (percent * n + 99) // 100
 
 
+def count_vector(u: np.ndarray, groups: int) -> bytes:
+    """Counts of the hashes by group, in the least of 1, 2 and 4 bytes each."""
+    c = np.bincount((u & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return c.astype("<u1" if c.max(initial=0) < 256 else "<u2" if c.max() < 65536 else "<u4").tobytes()
+
+
+def vector(b: bytes, groups: int) -> np.ndarray:
+    return np.frombuffer(b, {1: "<u1", 2: "<u2", 4: "<u4"}[len(b) // groups])
+
+
 def sketch(key: DataFrame, width: int) -> np.ndarray:
     """Order class of each slot: 0 for usual frequencies, then by powers of four of the mean."""
 
@@ -100,8 +114,7 @@ def signatures(key: DataFrame, order: np.ndarray, width: int, percent: int) -> D
             for a, z in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
                 u = np.unique(h[a:z])
                 n = len(u)
-                with np.errstate(over="ignore"):
-                    k = int(mix64(np.array([mix64(u).sum(dtype=np.uint64) + np.uint64(n)]))[0].astype(np.int64)) if n else 0
+                k = node_of(u)
                 node.append(k)
                 size.append(n)
                 if not n or k in seen:
@@ -113,8 +126,7 @@ def signatures(key: DataFrame, order: np.ndarray, width: int, percent: int) -> D
                 p = n - int(least_overlap(n, percent)) + 1
                 first = u[:p] if not cls.any() else u[np.argsort(cls, kind="stable")[:p]]
                 prefix.append(first.view(np.int64))
-                groups = np.bincount((u & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-                vec.append(groups.astype("<u4" if n > 60_000 else "<u2").tobytes())
+                vec.append(count_vector(u, GROUPS))
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(vec, pa.binary()), b.column("hash")], ["id", "node", "n", "prefix", "vec", "hash"])
 
     return key.mapInArrow(run, f"id {kind}, node long, n long, prefix array<long>, vec binary, hash long")
@@ -168,17 +180,60 @@ def _sizes_fit(n, m, percent: int):
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
-def verify(key: DataFrame, sig: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose shingle sets are alike, compared on the texts; each left side with at most STAR others in a task."""
+def bounded(key: DataFrame, sig: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that the summed minima of finer count vectors leave; a written table."""
     pairs = materialise(pairs)
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+    def fine(batches):
+        for b in batches:
+            h, off = shingle_hashes(b.column("text"), width)
+            node, n, vec = [], [], []
+            for i, want in enumerate(b.column("node").to_pylist()):
+                u = np.unique(h[off[i] : off[i + 1]])
+                if node_of(u) == want:
+                    node.append(want)
+                    n.append(len(u))
+                    vec.append(count_vector(u, FINE))
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(vec, pa.binary())], ["node", "n", "vec"])
+
+    vecs = materialise(_texts_of(key, sig, nodes).mapInArrow(fine, "node long, n long, vec binary").dropDuplicates(["node"]))
+    side = lambda c: vecs.select(F.col("node").alias(c), F.struct("n", "vec").alias(f"v{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.col("va.n").alias("na"), F.col("vb.n").alias("nb"), F.col("va.vec").alias("x"), F.col("vb.vec").alias("y"))
+
+    def bound(batches):
+        for b in batches:
+            na, nb = (b.column(c).to_numpy() for c in ("na", "nb"))
+            reach = np.fromiter((np.minimum(vector(x, FINE), vector(y, FINE)).sum(dtype=np.int64) for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True)), np.int64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(reach * (100 + percent) >= percent * (na + nb)))
+
+    return materialise(both.mapInArrow(bound, "a long, b long"))
+
+
+def node_of(u: np.ndarray) -> int:
+    """The name of a set of distinct hashes; 0 for the empty set."""
+    if not len(u):
+        return 0
+    with np.errstate(over="ignore"):
+        return int(mix64(np.array([mix64(u).sum(dtype=np.uint64) + np.uint64(len(u))]))[0].astype(np.int64))
+
+
+def _texts_of(key: DataFrame, sig: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the nodes: the texts of an id that has the node, whose own sets the reader must check, since ids may repeat."""
+    ids = materialise(sig.where("vec is not null").join(nodes, "node").groupBy("node").agg(F.min("id").alias("id")))
+    if ids.count() <= BROADCAST_NODES:
+        ids = F.broadcast(ids)
+    return key.join(ids, key["id"].eqNullSafe(ids["id"])).select("node", "text")
+
+
+def verify(key: DataFrame, sig: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose shingle sets are alike: bounded, then compared on the texts; each left side with at most STAR others in a task."""
+    pairs = bounded(key, sig, pairs, width, percent)
     count = pairs.groupBy("a").count().select("a", F.ceil(F.col("count") / STAR).alias("parts"))
     member = pairs.join(count, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), F.col("b").alias("node"))
     leader = count.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("a").alias("node"))
     asked = member.unionByName(leader)
-    ids = materialise(sig.where("vec is not null").join(asked.select("node").distinct(), "node").groupBy("node").agg(F.min("id").alias("id")))
-    # a text for each asked node: the row whose id and node fit (an id may repeat)
-    hint = F.broadcast if ids.count() <= BROADCAST_NODES else (lambda df: df)
-    found = key.join(hint(ids), "id").select("node", "text")
+    found = _texts_of(key, sig, asked.select("node").distinct())
     found = asked.join(found, "node").select("a", "part", "node", "text")
     rows = found.repartition("a", "part").sortWithinPartitions("a", "part", (F.col("node") != F.col("a")).cast("int"), "node")
 
@@ -190,9 +245,7 @@ def verify(key: DataFrame, sig: DataFrame, pairs: DataFrame, width: int, percent
             links = []
             for i in range(b.num_rows):
                 u = np.unique(h[off[i] : off[i + 1]])
-                with np.errstate(over="ignore"):
-                    own = int(mix64(np.array([mix64(u).sum(dtype=np.uint64) + np.uint64(len(u))]))[0].astype(np.int64)) if len(u) else 0
-                if own != node[i]:
+                if node_of(u) != node[i]:
                     continue  # another row of the same id
                 if node[i] == a[i]:
                     lead, current = (a[i], part[i]), u
@@ -245,8 +298,8 @@ class RTree:
             order = x[np.lexsort((x, self.vec[x, axis]))]
             todo += [order[: len(x) // 2], order[len(x) // 2 :]]
 
-    def pairs(self, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the pairs of different classes that the bound of their overlap leaves."""
+    def pairs(self, percent: int, early: np.ndarray, sh: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pairs of different classes that the bound of their overlap leaves, without those that met in a bucket before."""
         left, right = [], []
         for i, x in enumerate(self.leaves):
             reach = np.minimum(self.top[i], self.top[i:]).sum(1, dtype=np.int64)
@@ -261,11 +314,19 @@ class RTree:
                 if i == j:
                     good &= np.arange(len(x))[:, None] < np.arange(len(y))[None]
                 p, q = np.nonzero(good)
-                left.append(x[p])
-                right.append(y[q])
+                p, q = x[p], y[q]
+                new = ~((early[p][:, :, None] == early[q][:, None, :]) & (early[p] < sh)[:, :, None]).any((1, 2))
+                left.append(p[new])
+                right.append(q[new])
         return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64),) * 2
 
 
+def _objects(values: list) -> np.ndarray:
+    out = np.empty(len(values), object)
+    out[:] = values
+    return out
+
+
 def rest_pairs(met: DataFrame, sig: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs of different classes in one bucket that the R-tree's bounds leave."""
     named = met.drop("size").join(known, "node", "left").select("sh", "node", "n", F.coalesce("root", "node").alias("cls"))
@@ -273,16 +334,21 @@ def rest_pairs(met: DataFrame, sig: DataFrame, known: DataFrame, percent: int) -
     open_ = named.groupBy("sh").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).where("x <> y").select("sh")
     rows = named.join(open_, "sh", "left_semi")
     points = sig.where("vec is not null").groupBy("node").agg(F.first("vec").alias("vec"))
+    # the first buckets of each node, in the order of their names: a pair is taken in the first that both have
+    early = open_.join(named.select("sh", "node"), "sh").groupBy("node").agg(F.slice(F.sort_array(F.collect_list("sh")), 1, EARLY).alias("early"))
+    points = points.join(early, "node")
     rows = rows.join(points, "node").repartition("sh").sortWithinPartitions("sh", "n", "node")
 
     def run(batches):
-        def of(sh, node, n, cls, vec):
+        def of(sh, node, n, cls, vec, early):
             cuts = np.flatnonzero(np.concatenate([[True], sh[1:] != sh[:-1], [True]]))
             a, b = [], []
             for i, j in zip(cuts[:-1], cuts[1:], strict=True):
                 if j - i > 1:
-                    x = [np.frombuffer(v, "<u4" if len(v) > 2 * GROUPS else "<u2") for v in vec[i:j]]
-                    p, q = RTree(np.stack(x), n[i:j], cls[i:j]).pairs(percent)
+                    met = np.full((j - i, EARLY), np.iinfo(np.int64).max)
+                    for k, e in enumerate(early[i:j]):
+                        met[k, : len(e)] = e
+                    p, q = RTree(np.stack([vector(v, GROUPS) for v in vec[i:j]]), n[i:j], cls[i:j]).pairs(percent, met, int(sh[i]))
                     a.append(node[i + p])
                     b.append(node[i + q])
             a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
@@ -293,7 +359,7 @@ def rest_pairs(met: DataFrame, sig: DataFrame, known: DataFrame, percent: int) -
         for b in batches:
             if not b.num_rows:
                 continue
-            cols = [b.column(c).to_numpy() for c in ("sh", "node", "n", "cls")] + [np.array(b.column("vec").to_pylist(), object)]
+            cols = [b.column(c).to_numpy() for c in ("sh", "node", "n", "cls")] + [np.array(b.column("vec").to_pylist(), object), _objects(b.column("early").to_pylist())]
             if held is not None:
                 cols = [np.concatenate([x, y]) for x, y in zip(held, cols, strict=True)]
             last = np.flatnonzero(cols[0] != cols[0][-1])
