@@ -211,7 +211,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
 def cut_spans(text: str, sam_hits: np.ndarray) -> str:
     """The text without the characters of the marked words and what stands between two of them."""
     out, at, last = [], 0, -2
-    for i, m in enumerate(ALNUM_RE.finditer(text)):
+    for i, m in enumerate(ALNUM_RE.finditer(ascii_lower(text))):  # as long as the text
         if sam_hits[i]:
             if last != i - 1:
                 out.append(text[at : m.start()])
