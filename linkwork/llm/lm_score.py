@@ -45,10 +45,12 @@ from .common import BATCH_BYTES, as_array, crc_mod, encode, materialise, prepare
 
 VOCAB, KNOWN = 1 << 15, 1 << 18
 #: Training texts on which the first weights are found, at most.
-TUNE = 1500
+TUNE = 600
 #: Bits of the slots of each predictor's table.
 WORD_BITS, BYTE_BITS = (16, 20, 20, 18), (18, 19, 20, 20)
 STEP = 64
+#: Spelled words whose cost a worker remembers.
+SPELLED = 400_000
 END_HASH = np.int64(0x5F3C_91E2_77A1_0B4D)
 BLOCK = 1 << 16
 COMMON = 256
@@ -163,13 +165,21 @@ class Batch:
         self.rare = np.flatnonzero(own == code.escape)
         self.rare_row = np.full(len(words), -1, np.int64)
         self.rare_row[self.rare] = np.arange(len(self.rare))
-        lens = np.diff(w_off)[self.rare]
+        self.rare_hash = hashes[self.rare]
+        self._bytes = (raw, w_off)
+        self.keep_rare(np.ones(len(self.rare), bool))
+
+    def keep_rare(self, keep: np.ndarray) -> None:
+        """Letters of the kept rare words, each closed by an end mark."""
+        raw, w_off = self._bytes
+        rare = self.rare[keep]
+        lens = np.diff(w_off)[rare]
         self.letters = np.zeros(int(lens.sum() + len(lens)), np.int64)
         self.spell_off = np.concatenate([[0], np.cumsum(lens + 1)])
         inner = np.ones(len(self.letters), bool)
-        inner[self.spell_off[1:] - 1] = False  # an end mark, symbol 0, closes a word
+        inner[self.spell_off[1:] - 1] = False
         owner = np.repeat(np.arange(len(lens)), lens)
-        self.letters[inner] = raw[np.repeat(w_off[:-1][self.rare], lens) + np.arange(len(owner)) - np.repeat(np.cumsum(lens) - lens, lens)].astype(np.int64) + 1 if len(raw) else 0
+        self.letters[inner] = raw[np.repeat(w_off[:-1][rare], lens) + np.arange(len(owner)) - np.repeat(np.cumsum(lens) - lens, lens)].astype(np.int64) + 1 if len(raw) else 0
         self.spell_word = np.repeat(np.arange(len(lens)), lens + 1)
         self.spell_place = np.arange(len(self.letters)) - self.spell_off[:-1][self.spell_word]
 
@@ -245,9 +255,10 @@ class Mixer:
         """Cost in bits' natural logs, and the error of the prediction, with weights w[row]."""
         z = np.einsum("ij,ij->i", x, w[row])
         np.clip(z, -12, 12, out=z)
-        sign = np.where(bit == 1, -z, z)
-        cost = np.logaddexp(0, sign)
-        return cost, bit - 1 / (1 + np.exp(-z))
+        e = np.exp(-np.abs(z))
+        p = np.where(z >= 0, 1 / (1 + e), e / (1 + e)).astype(np.float32)
+        cost = np.log(1 + e) + np.maximum(np.where(bit == 1, -z, z), 0)
+        return cost, bit - p
 
     @staticmethod
     def learn(w: np.ndarray, x: np.ndarray, row: np.ndarray, error: np.ndarray, rate: float) -> None:
@@ -260,19 +271,19 @@ def _level(depth: np.ndarray) -> np.ndarray:
 
 
 def count_bits(batch: Batch, code: Code, add) -> None:
-    """Adds the batch's bits to the slots: ``add(slots * 2 + bit)``."""
-    none = Tables(np.zeros(0, np.int64))
-    for i in range(0, len(batch.ids), 1 << 18):
-        owner, _, node, bit = code.words.expand(batch.ids[i : i + (1 << 18)])
-        for s in Mixer(none, False).slots([c[i : i + (1 << 18)] for c in batch.contexts], owner, node):
-            add(s * 2 + bit)
-    for a, b in _spell_chunks(batch):
+    """Adds the batch's bits to the slots: ``add(predictor, slots * 2 + bit)``."""
+    none, size = Tables(np.zeros(0, np.int64)), 1 << 15
+    for i in range(0, len(batch.ids), size):
+        owner, _, node, bit = code.words.expand(batch.ids[i : i + size])
+        for k, s in enumerate(Mixer(none, False).slots([c[i : i + size] for c in batch.contexts], owner, node)):
+            add(k, s * 2 + bit)
+    for a, b in _spell_chunks(batch, size):
         owner, _, node, bit = code.letters.expand(batch.letters[a:b])
-        for s in Mixer(none, True).slots(batch.spell_contexts(a, b), owner, node):
-            add(s * 2 + bit)
+        for k, s in enumerate(Mixer(none, True).slots(batch.spell_contexts(a, b), owner, node)):
+            add(4 + k, s * 2 + bit)
 
 
-def _spell_chunks(batch: Batch, size: int = 1 << 17):
+def _spell_chunks(batch: Batch, size: int = 1 << 15):
     """Ranges of letters of whole words."""
     a = 0
     while a < len(batch.letters):
@@ -321,7 +332,22 @@ class Model:
     rate: float = 0.0015
 
     def spell_costs(self, batch: Batch) -> np.ndarray:
-        """Natural-log cost of spelling each distinct rare word."""
+        """Natural-log cost of spelling each distinct rare word; those of this task's batches before are remembered, up to a bound."""
+        names, known = self.__dict__.setdefault("_spelled", (np.zeros(0, np.int64), np.zeros(0)))
+        at = np.minimum(np.searchsorted(names, batch.rare_hash), max(len(names) - 1, 0))
+        old = names[at] == batch.rare_hash if len(names) else np.zeros(len(batch.rare_hash), bool)
+        out = np.zeros(len(batch.rare_hash))
+        out[old] = known[at[old]]
+        if not old.all():
+            batch.keep_rare(~old)
+            out[~old] = self._spell(batch)
+            if len(names) < SPELLED:
+                names, known = np.concatenate([names, batch.rare_hash[~old]]), np.concatenate([known, out[~old]])
+                order = np.argsort(names)
+                self._spelled = (names[order], known[order])
+        return out
+
+    def _spell(self, batch: Batch) -> np.ndarray:
         out = [np.zeros(0)]
         m = Mixer(self.tables, True)
         for a, b in _spell_chunks(batch):
@@ -407,26 +433,25 @@ def bit_totals(key: DataFrame, code: Code) -> np.ndarray:
     size = 2 * int(Tables.offsets[-1])
 
     def run(batches):
-        total, todo, n = np.zeros(size, np.int32), [], 0
-
-        def fold() -> None:
-            nonlocal todo, n
-            if todo:
-                at, c = np.unique(np.concatenate(todo), return_counts=True) if n < size // 64 else (slice(None), np.bincount(np.concatenate(todo), minlength=size))
-                total[at] += c.astype(np.int32)
-            todo, n = [], 0
-
-        def add(x: np.ndarray) -> None:
-            nonlocal n
-            todo.append(x.astype(np.int32))
-            n += len(x)
-            if n > 1 << 23:
-                fold()
+        total = np.zeros(size, np.int32)
+        todo: list[list[np.ndarray]] = [[] for _ in Tables.sizes]
+
+        def fold(k: int) -> None:
+            if todo[k]:
+                at = 2 * int(Tables.offsets[k])
+                total[at : at + 2 * Tables.sizes[k]] += np.bincount(np.concatenate(todo[k]), minlength=2 * Tables.sizes[k]).astype(np.int32)
+            todo[k] = []
+
+        def add(k: int, x: np.ndarray) -> None:
+            todo[k].append((x - 2 * Tables.offsets[k]).astype(np.int32))
+            if sum(map(len, todo[k])) > 1 << 20:
+                fold(k)
 
         for b in batches:
             for part in slices(b.column("text")):
                 count_bits(Batch(part, shared.value), shared.value, add)
-        fold()
+        for k in range(len(todo)):
+            fold(k)
         for i in range(0, size, BLOCK):
             own = total[i : i + BLOCK]
             if own.any():
