@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import similarity as sim
 
 CHANNELS = ["token", "char_ngram", "phonetic", "rare_token", "concat_name_address"]
+# The features of the cheap ranker, in order.
 RANKER_FEATURES = ["token_overlap", "char_ngram_overlap", "name_jaro_winkler", "address_token_overlap", "postal_exact", "city_exact", "phonetic_match"]
 # The ranker's weights where there are too few examples.
 FALLBACK_WEIGHTS = (0.25, 0.15, 0.30, 0.15, 0.05, 0.05, 0.05)
