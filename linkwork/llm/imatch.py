@@ -2,12 +2,12 @@
 
 Document frequencies are counted for hashed terms in a fixed number of slots.
 Terms whose slot lies in the chosen band of inverse document frequency make the
-lexicon, which is a bounded table and so is broadcast. A text keeps its distinct
-lexicon terms, sorted; several randomised subsets of the lexicon each give one
-hash of the kept terms that fall in them. How dense the subsets are goes by the
-number of kept terms, at two neighbouring levels, so that about one term falls
-in each: a subset's hash then outlives edits elsewhere in the text. Texts with
-fewer than eight lexicon terms, and at most 32 terms, keep all their terms.
+lexicon, which is a bounded table and so is broadcast. A text's distinct terms are
+sorted and those of the lexicon kept (of a text with at most 32 terms, all);
+several randomised subsets of the lexicon each give one hash of the set of kept
+terms that fall in them. How dense the subsets are goes by the number of the
+text's terms, at two neighbouring levels, so that about one term falls in each:
+a subset's hash then outlives edits elsewhere in the text.
 
 The likeness of two fingerprints is the share of equal hashes among the subsets
 of common levels in which either has terms.
@@ -35,11 +35,12 @@ SLOTS = 1 << 20
 LEAST, MOST = 2, 0.05
 #: Randomised subsets at each level.
 SUBSETS = 12
-_SPLIT = r"[\x20\x09-\x0D]+"
+#: Terms are runs of letters, digits and non-ASCII characters.
+_SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def _terms(text: Column) -> Column:
-    return F.array_distinct(F.split(F.lower(text), _SPLIT))
+    return F.array_sort(F.array_distinct(F.split(F.lower(text), _SPLIT)))
 
 
 def _slot(h: Column) -> Column:
@@ -54,19 +55,20 @@ def lexicon(docs: DataFrame, least: int = LEAST, most: float = MOST) -> DataFram
     return materialise(band.unionByName(docs.sparkSession.range(1).select(F.lit(-1).alias("slot"))))
 
 
-def _subset_hashes(s: Column) -> Column:
-    """Array of (slot name, hash) strings of the sorted distinct term hashes ``s``."""
-    level = F.floor(F.log2(F.greatest(F.size(s), F.lit(1)))).cast("int")
-    coarse, fine = (F.call_function("shiftleft", F.lit(1).cast("long"), level + i) - 1 for i in (0, 1))
+def _subset_sums() -> list[Column]:
+    """For each subset and level, the exclusive or of the hashes of the kept terms in it; null where there are none."""
     out = []
-    def within(terms: Column, k: int, mask: Column) -> Column:
-        return F.filter(terms, lambda h: F.xxhash64(h, F.lit(k)).bitwiseAND(mask) == 0)
-
     for k in range(SUBSETS):
-        inside = within(s, k, coarse)
-        for name, kept in ((level, inside), (level + 1, within(inside, k, fine))):
-            out.append(F.when(F.size(kept) > 0, F.concat(name.cast("string"), F.lit(f".{k}."), F.substring(F.lower(F.hex(F.xxhash64(kept))), -8, 8))))
-    return F.array_compact(F.array(*out))
+        own, name = F.xxhash64("h", F.lit(k)), F.xxhash64("h", F.lit(k + 1000))
+        for i, mask in ((0, "coarse"), (1, "fine")):
+            out.append(F.bit_xor(F.when(F.col("h").isNotNull() & (own.bitwiseAND(F.col(mask)) == 0), name)).alias(f"x{k}_{i}"))
+    return out
+
+
+def _hashes() -> Column:
+    """Array of "level.subset.hash" of the subsets that have terms."""
+    part = lambda k, i: F.when(F.col(f"x{k}_{i}").isNotNull(), F.concat((F.col("level") + i).cast("string"), F.lit(f".{k}."), F.substring(F.lower(F.hex(f"x{k}_{i}")), -8, 8)))
+    return F.array_compact(F.array(*[part(k, i) for k in range(SUBSETS) for i in (0, 1)]))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -106,24 +108,24 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", ranges: int | None = N
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - F.floor(n / 3).cast("int")), F.substring(F.coalesce("next", F.lit("")), F.lit(1), F.floor(n / 3).cast("int")))
     rows = rows.select("part", "row", "ghost", "id", "text", n.alias("n"), edited.alias("edited"))
     rows = rows.select("*", F.sha2("edited", 256).alias("sha"))
-    # two texts a row; the first term of each is a mark, which carries what belongs to the row
-    rows = rows.select("part", "row", "ghost", "id", "n", "sha", F.posexplode(F.array("text", "edited")).alias("which", "own"))
-    rows = rows.where("which = 0 or ghost = 0")
-    few = F.size("terms") <= 32
-    rows = rows.select("*", _terms(F.col("own")).alias("terms")).select("part", "row", "ghost", "id", "n", "sha", "which", F.when(few, F.transform("terms", lambda t: F.xxhash64(t))).alias("few"), F.posexplode(F.concat(F.array(F.lit("")), "terms")).alias("pos", "t"))
+    # two texts a row; the first term of each is a mark, so that texts without lexicon terms stay
+    rows = rows.select("part", "row", "ghost", "id", "n", F.unhex("sha").alias("sha"), F.posexplode(F.array("text", "edited")).alias("which", "own"))
+    rows = rows.where("which = 0 or ghost = 0").select("*", _terms(F.col("own")).alias("terms"))
+    level = F.floor(F.log2(F.greatest(F.size("terms"), F.lit(1)))).cast("int")
+    key_cols = ["part", "row", "which", "ghost", "id", "n", "sha", "level", "few"]
+    rows = rows.select("part", "row", "which", "ghost", "id", "n", "sha", level.alias("level"), (F.size("terms") <= 32).alias("few"), F.posexplode(F.concat(F.array(F.lit("")), "terms")).alias("pos", "t"))
+    power = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), c) - 1
     rows = rows.where("pos = 0 or t <> ''").select(
-        "part", "row", "which",
-        F.when(F.col("pos") == 0, F.struct("ghost", "id", "n", "sha", "few")).alias("meta"),
+        *key_cols,
+        power(F.col("level")).alias("coarse"),
+        power(F.col("level") + 1).alias("fine"),
         F.when(F.col("pos") > 0, F.xxhash64("t")).alias("h"),
-        F.when(F.col("pos") == 0, F.lit(-1)).otherwise(_slot(F.xxhash64("t"))).alias("slot"),
+        F.when((F.col("pos") == 0) | F.col("few"), F.lit(-1)).otherwise(_slot(F.xxhash64("t"))).alias("slot"),
     )
-    kept = rows.join(F.broadcast(band), "slot", "left_semi").groupBy("part", "row", "which").agg(F.first("meta", ignorenulls=True).alias("meta"), F.sort_array(F.collect_set("h")).alias("s"))
-    empty = F.xxhash64(F.lit(""))
-    all_terms = F.sort_array(F.filter("meta.few", lambda h: h != empty))
-    s = F.when((F.size("s") < 8) & F.col("meta.few").isNotNull(), all_terms).otherwise(F.col("s"))
-    kept = kept.select("part", "row", "which", "meta", s.alias("s")).select("part", "row", "which", "meta", _subset_hashes(F.col("s")).alias("fp"))
+    kept = rows.join(F.broadcast(band), "slot", "left_semi").groupBy(*key_cols).agg(*_subset_sums())
+    kept = kept.select("part", "row", "which", "ghost", "id", "n", F.lower(F.hex("sha")).alias("sha"), _hashes().alias("fp"))
     pair = kept.groupBy("part", "row").agg(
-        F.first(F.when(F.col("which") == 0, F.col("meta")), ignorenulls=True).alias("meta"),
+        F.first(F.when(F.col("which") == 0, F.struct("ghost", "id", "n", "sha")), ignorenulls=True).alias("meta"),
         F.first(F.when(F.col("which") == 0, F.col("fp")), ignorenulls=True).alias("fp"),
         F.first(F.when(F.col("which") == 1, F.col("fp")), ignorenulls=True).alias("edited_fp"),
     )
