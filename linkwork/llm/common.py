@@ -95,6 +95,15 @@ def _flat(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
     return flat, offsets
 
 
+def parts(batch: pa.RecordBatch, column: str = "text", size: int = 4 << 20):
+    """The batch in slices of about ``size`` bytes of a text column: bounds what numpy holds at once."""
+    if batch.num_rows:
+        lens = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(np.cumsum(lens) // size)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+            yield batch.slice(a, b - a)
+
+
 def space_words(text: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
     """Maximal runs of anything but x20 and x09-x0D; A-Z lower-cased if asked."""
     text = as_array(text)

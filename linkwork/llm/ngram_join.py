@@ -14,11 +14,11 @@ of at least ``percent``/100, exactly; the result is connected components.
    compared with the others of about its size. The links found join most
    classes without any pairs within them.
 4. What is left are pairs between different classes. The nodes of a bucket are
-   points: the counts of their shingles in 256 hash groups. An R-tree over them
+   points: the counts of their shingles in 128 hash groups. An R-tree over them
    bounds the overlap of two nodes, or of two boxes, by the summed coordinate
    minima; boxes of one class, or which can't reach the least overlap, are not
    opened. A pair is taken in the first bucket that both have. Pairs that survive
-   are bounded again by 4,096 groups, then verified on their shingles, so
+   are bounded again by 2,048 groups, then verified on their shingles, so
    nothing is lost.
 
 Defined results: null, empty and wordless texts have no shingles and link with
@@ -34,12 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import encode, materialise, mix64, prepare, space_words, texts, word_hashes
+from .common import encode, materialise, mix64, parts, prepare, space_words, texts, word_hashes
 
 #: Slots of the frequency sketch, groups of the count vectors, points of a leaf.
-SLOTS, GROUPS, LEAF = 1 << 18, 256, 48
+SLOTS, GROUPS, LEAF = 1 << 17, 128, 48
 #: Groups of the finer vectors that bound single pairs, and of a node's buckets those that tell where a pair has met before.
-FINE, EARLY = 4096, 6
+FINE, EARLY = 2048, 6
 #: Node ids up to which they are broadcast to pick their texts; beyond, the join shuffles.
 BROADCAST_NODES = 1_000_000
 #: Members that are compared with one leader in a task.
@@ -84,7 +84,7 @@ def sketch(key: DataFrame, width: int) -> np.ndarray:
 
     def count(batches):
         total = np.zeros(SLOTS, np.int64)
-        for b in batches:
+        for b in (x for whole in batches for x in parts(whole)):
             h, _ = shingle_hashes(b.column("text"), width)
             total += np.bincount((h >> np.uint64(40)).astype(np.int64) % SLOTS, minlength=SLOTS)
         at = np.flatnonzero(total)
@@ -108,7 +108,7 @@ def signatures(key: DataFrame, order: np.ndarray, width: int, percent: int) -> D
     def run(batches):
         rank = shared.value
         seen: set[int] = set()
-        for b in batches:
+        for b in (x for whole in batches for x in parts(whole)):
             h, off = shingle_hashes(b.column("text"), width)
             node, size, prefix, vec = [], [], [], []
             for a, z in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
@@ -186,7 +186,7 @@ def bounded(key: DataFrame, sig: DataFrame, pairs: DataFrame, width: int, percen
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
     def fine(batches):
-        for b in batches:
+        for b in (x for whole in batches for x in parts(whole)):
             h, off = shingle_hashes(b.column("text"), width)
             node, n, vec = [], [], []
             for i, want in enumerate(b.column("node").to_pylist()):
@@ -239,7 +239,7 @@ def verify(key: DataFrame, sig: DataFrame, pairs: DataFrame, width: int, percent
 
     def run(batches):
         lead, current = None, None
-        for b in batches:
+        for b in (x for whole in batches for x in parts(whole)):
             h, off = shingle_hashes(b.column("text"), width)
             a, part, node = (b.column(c).to_numpy() for c in ("a", "part", "node"))
             links = []
