@@ -49,7 +49,7 @@ TUNE = 600
 #: Bits of the slots of each predictor's table.
 WORD_BITS, BYTE_BITS = (16, 20, 20, 18), (18, 19, 20, 20)
 STEP = 64
-#: Spelled words whose cost a worker remembers.
+#: Spelled words that a worker remembers (and about as many more).
 SPELLED = 400_000
 END_HASH = np.int64(0x5F3C_91E2_77A1_0B4D)
 BLOCK = 1 << 16
@@ -447,9 +447,15 @@ def bit_totals(key: DataFrame, code: Code) -> np.ndarray:
             if sum(map(len, todo[k])) > 1 << 20:
                 fold(k)
 
+        seen = np.zeros(0, np.int64)  # rare words are spelled once, as far as a task can remember them
         for b in batches:
             for part in slices(b.column("text")):
-                count_bits(Batch(part, shared.value), shared.value, add)
+                batch = Batch(part, shared.value)
+                new = ~np.isin(batch.rare_hash, seen)
+                batch.keep_rare(new)
+                if len(seen) < SPELLED:
+                    seen = np.concatenate([seen, batch.rare_hash[new]])
+                count_bits(batch, shared.value, add)
         for k in range(len(todo)):
             fold(k)
         for i in range(0, size, BLOCK):
