@@ -1,5 +1,7 @@
 """Golden rows of the linkage operators, and their queries against the SQL twins."""
 
+import os
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from linkwork.functions import similarity as sim
 from linkwork.functions import text
 from linkwork.functions.phonetics import metaphone
 from linkwork.operators import blocking, decision, evaluation, features, tfidf, validate
+from linkwork.operators.records import normalize_records
 from linkwork.queries import ORACLE, QUERIES
 from linkwork.sources import tables
 
@@ -119,6 +122,15 @@ def test_queries_match_sql(spark, sf, name):
     assert sorted((tuple(plain(r[c]) for c in cols) for r in df.collect()), key=repr) == rows
 
 
+def test_normalize_records_folds(spark):
+    rows = [("S1-1", "Café Ltd", "12 MG Rd, Near SBI ATM", "us", None, "Köln"), ("S1-2", None, "", None, None, None)]
+    s1 = tables.coerce(spark.createDataFrame(rows, "source1_entity_id string, name string, address string, country string, state string, city string"), tables.SOURCE1)
+    a, b = normalize_records(s1, "source1_entity_id").orderBy("id").collect()
+    assert (a.original_name, a.normalized_name, a.name_without_suffix, a.normalized_address, a.landmark, a.street_number, a.city) == ("Café Ltd", "cafe ltd", "cafe", "12 mg road", "Near SBI ATM", "12", "koln")
+    assert (b.name_missing, b.address_missing, b.city, b.name_tokens) == (True, True, None, [])
+
+
+@pytest.mark.skipif(not os.environ.get("RUN_SLOW"), reason="trains whole pipelines: some minutes; set RUN_SLOW=1")
 def test_pipeline_links_copies(spark):
     """A small task: each entity's copy with a typo is found, others are not."""
     from linkwork.plans import pipeline
