@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_array, crc_mod, encode, mix64, prepare, segment_sums, space_words, texts, word_bytes, word_hashes
+from .common import as_array, crc_mod, encode, mix64, parts, prepare, segment_sums, space_words, texts, word_bytes, word_hashes
 
 BUCKETS = 1 << 16
 #: Labelled rows that the model is fitted on, at most.
@@ -80,6 +80,11 @@ class Model:
     rows: int = 0
 
     def score(self, text: pa.Array) -> np.ndarray:
+        """Probability of label 1, in slices that bound what numpy holds at once."""
+        batch = pa.RecordBatch.from_arrays([as_array(text)], ["text"])
+        return np.concatenate([np.zeros(0), *(self._score(x.column(0)) for x in parts(batch, size=2 << 20))])
+
+    def _score(self, text: pa.Array) -> np.ndarray:
         flat, offsets = space_words(text, lower=False)
         codes, words = encode(flat)
         feature, at = word_features(words, len(self.weight) - 1)
