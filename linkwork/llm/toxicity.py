@@ -1,16 +1,20 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine.
 
-Terms are hashed words and word beginnings (4, 5 and 6 bytes), A-Z
-lower-cased. Of those that occur in a bounded, stratified sample of labelled
-rows, the ``terms`` ones that tell the labels apart best (chi-squared) span the
-vector space; their document frequencies are counted over all documents. The
-labelled examples make a block-max inverted index: examples of like terms stand
-in blocks, and for each term and block the largest weight is kept. A query adds
-these up to a bound for each block and opens blocks in falling order of bounds
-until none can hold a nearer example than the k-th found, so its k nearest are
-exact. Their votes weigh by cosine, with the share of each class in all labelled
-rows, plus a weak prior; texts without any term get the share of label 1 among
-the sample's texts without any.
+Terms are 64-bit hashes of words and of word beginnings (4, 5 and 6 bytes), A-Z
+lower-cased. All terms of a bounded, stratified sample of labelled rows span the
+index; the document frequency of every term is counted over all documents, and
+the norm of a text takes all its terms, also those that no example has. The
+commonest ``KNOWN`` frequencies are broadcast, those of other terms come by a join.
+The labelled examples make a block-max inverted index: examples of like terms
+stand in blocks, and for each common term and block the largest weight is kept. A
+query adds these, and what its rarer terms give by their short postings, up to a
+bound for each block and opens blocks in falling order of bounds until none can
+hold a nearer example than the k-th found, so its k nearest are exact. Terms that tell the labels apart (in 3 examples at least) weigh more by
+their chi-squared, in all texts alike; all others have their TF-IDF weight. Votes
+weigh by squared cosine, with the share of each class in all labelled rows, plus
+a weak prior; texts without any term get the share of label 1
+among the sample's texts without any, those that share no term with an example
+the share in all labelled rows.
 
 Defined results: null, empty and wordless texts have no terms; labels that are
 null are no labels; labels of an id that disagree count by their mean; without
@@ -20,218 +24,296 @@ are scored each; documents may have other columns of any name.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_array, crc_mod, encode, materialise, mix64, prepare, segment_sums, space_words, texts, word_bytes, word_hashes
+from .common import as_array, crc_mod, encode, materialise, mix64, parts, prepare, segment_sums, space_words, texts, word_bytes, word_hashes
 from .quality import labelled
 
-BUCKETS = 1 << 22
-#: Labelled examples (half of each label where there are enough) and terms, at most.
-MAX_TRAIN, TERMS = 4000, 512
+#: Labelled examples, at most (half of each label where there are enough).
+MAX_TRAIN = 4000
+#: Chi-squared from which a term weighs more.
+TELLING = 25
+#: Terms that the index keeps as blocks of numbers, at most; the others have postings.
+COMMON = 2048
+#: Document frequencies that are broadcast, at most.
+KNOWN = 1 << 18
 
 
-def term_features(words: pa.Array) -> np.ndarray:
-    """Buckets of each word: itself and its first 4, 5 and 6 bytes, -1 where it is shorter. One row a word."""
+def term_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each word: itself and its first 4, 5 and 6 bytes, and which of these there are. One row a word."""
     raw, off = word_bytes(words)
     n = len(off) - 1
-    out = np.full((n, 4), -1, np.int64)
+    out, there = np.zeros((n, 4), np.int64), np.zeros((n, 4), bool)
     if not n:
-        return out
-    out[:, 0] = (word_hashes(words) % np.uint64(BUCKETS)).astype(np.int64)
+        return out, there
+    out[:, 0], there[:, 0] = word_hashes(words).view(np.int64), True
     lens = np.diff(off)
     code = np.zeros(n, np.uint64)
     for k in range(6):
         ok = lens > k
         code[ok] = code[ok] << np.uint64(8) | raw[off[:-1][ok] + k].astype(np.uint64)
         if k >= 3:
-            out[ok, k - 2] = (mix64(code[ok] + (np.uint64(k) << np.uint64(56))) % np.uint64(BUCKETS)).astype(np.int64)
-    return out
+            out[ok, k - 2] = mix64(code[ok] + (np.uint64(k) << np.uint64(56))).view(np.int64)
+            there[ok, k - 2] = True
+    return out, there
 
 
-def bags(text: pa.Array, keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, bucket or number of the kept term, count), sorted, of the texts' terms."""
+def bags(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, number of the term, count), sorted, of the texts' terms; and the sorted hashes of the terms."""
     flat, offsets = space_words(text)
     codes, words = encode(flat)
-    feature = term_features(words)
-    if keep is not None:
-        at = np.searchsorted(keep, feature)
-        feature = np.where(keep[np.minimum(at, len(keep) - 1)] == feature, at, -1) if len(keep) else np.full_like(feature, -1)
-    wanted = (feature >= 0).any(1)[codes]
-    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[wanted]
-    feature = feature[codes[wanted]]
-    doc, feature = np.repeat(doc, feature.shape[1]), feature.ravel()
-    doc, feature = doc[feature >= 0], feature[feature >= 0]
-    key, n = np.unique(doc * BUCKETS + feature, return_counts=True)
-    return key // BUCKETS, key % BUCKETS, n
-
-
-def choose_terms(doc: np.ndarray, term: np.ndarray, y: np.ndarray, terms: int = TERMS) -> np.ndarray:
-    """The buckets of largest chi-squared against the labels, sorted; at least 3 examples must hold one."""
-    names, at = np.unique(term, return_inverse=True)
-    n = np.bincount(at, minlength=len(names)).astype(float)
-    a = np.bincount(at, y[doc], minlength=len(names))
-    total, pos = len(y), y.sum()
-    want = n * pos / max(total, 1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        chi = (a - want) ** 2 * float(total) ** 3 / (n * (total - n) * pos * (total - pos))
-    chi = np.where((n >= 3) & np.isfinite(chi) & (chi > 25), chi, 0)
-    order = np.lexsort((names, -chi))[:terms]
-    return np.sort(names[order[chi[order] > 0]])
+    feature, there = term_features(words)
+    names, at = np.unique(feature[there], return_inverse=True)
+    number = np.full(feature.shape, -1, np.int64)
+    number[there] = at
+    # words of a document once, then their terms
+    size = max(len(words), 1)
+    key, n = np.unique(np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)) * size + codes, return_counts=True)
+    doc, term = np.repeat(key // size, 4), number[key % size].ravel()
+    ok = term >= 0
+    size = max(len(names), 1)
+    key, at = np.unique(doc[ok] * size + term[ok], return_inverse=True)
+    return key // size, key % size, np.bincount(at, np.repeat(n, 4)[ok], len(key)), names
+
+
+def find(names: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``wanted`` are among the sorted names, and whether they are."""
+    if not len(names):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(names, wanted), len(names) - 1)
+    return at, names[at] == wanted
+
+
+def ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The numbers start[i] to end[i] - 1, one range after the other."""
+    n = end - start
+    return np.arange(n.sum()) + np.repeat(start - np.cumsum(n) + n, n)
 
 
-@dataclass
 class BlockMaxIndex:
-    """Unit vectors of the examples in blocks of ``size`` with the largest weight of each term in each block."""
-
-    vectors: np.ndarray
-    value: np.ndarray  # label and weight of the votes
-    weight: np.ndarray
-    ids: list
-    size: int = 32
-
-    def __post_init__(self):
-        blocks = -(-len(self.vectors) // self.size)
-        self.top = np.zeros((self.vectors.shape[1], blocks), np.float32)
-        for i in range(blocks):
-            self.top[:, i] = self.vectors[i * self.size : (i + 1) * self.size].max(0)
-        self.where = [np.flatnonzero(row) for row in self.top]  # postings: the blocks that hold a term
+    """Unit vectors of the examples in blocks of ``size`` with the largest weight of each common term in each block.
+
+    ``vectors`` is a matrix, or (example, term, weight) sorted by example with
+    the number of terms. A common term is in a 32nd of the examples, and one of
+    the ``COMMON`` most frequent; the others have postings.
+    """
+
+    def __init__(self, vectors, value: np.ndarray, weight: np.ndarray, ids: list, size: int = 32):
+        if isinstance(vectors, np.ndarray):
+            row, term = np.nonzero(vectors)
+            vectors = row, term, vectors[row, term], vectors.shape[1]
+        row, term, w, n_terms = vectors
+        self.value, self.weight, self.ids, self.size = value, weight, ids, size  # label and weight of the votes
+        blocks = -(-len(ids) // size)
+        n = np.bincount(term, minlength=n_terms)
+        common = np.argsort(-n, kind="stable")[:COMMON]
+        common = common[n[common] * 32 >= max(len(ids), 1)]
+        self.number = np.full(n_terms, -1, np.int32)
+        self.number[common] = np.arange(len(common))
+        own = self.number[term]
+        self.dense = np.zeros((blocks, len(common), size), np.float32)
+        at = own >= 0
+        self.dense[row[at] // size, own[at], row[at] % size] = w[at]
+        self.top = np.ascontiguousarray(self.dense.max(2).T)
+        row, term, w = row[~at], term[~at], w[~at]
+        order = np.lexsort((row, term))
+        self.row, self.w = row[order].astype(np.int32), w[order].astype(np.float32)
+        self.post = np.searchsorted(term[order], np.arange(n_terms + 1))
         self.opened = 0
 
     def nearest(self, term: np.ndarray, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and cosines of the k nearest examples with a cosine over 0."""
-        bound = np.zeros(self.top.shape[1], np.float32)
-        for t, x in zip(term, w, strict=True):
-            at = self.where[t]
-            bound[at] += x * self.top[t, at]
+        """Numbers and products of the k nearest examples with a product over 0."""
+        number = self.number[term]
+        rare, common = number < 0, number[number >= 0]
+        a, z = self.post[term[rare]], self.post[term[rare] + 1]
+        at = ranges(a, z)
+        light = np.bincount(self.row[at], np.repeat(w[rare], z - a) * self.w[at], len(self.dense) * self.size).astype(np.float32).reshape(-1, self.size)
+        heavy = w[~rare]
+        bound = light.max(1) + heavy @ self.top[common]
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        best, number, kth = np.zeros(0, np.float32), np.zeros(0, np.int64), 0.0
-        for i in range(0, len(order), 4):  # a few blocks at a time
-            open_ = order[i : i + 4]
-            open_ = open_[bound[open_] > kth + 1e-6] if len(best) >= k else open_
+        slack = 1e-5 * float(w.sum())
+        best, found, kth, i, step = np.zeros(0, np.float32), np.zeros(0, np.int64), 0.0, 0, 4
+        while i < len(order):  # more blocks at a time
+            open_ = order[i : i + step]
+            open_ = open_[bound[open_] > kth - slack] if len(best) >= k else open_
             if not len(open_):
                 break
             self.opened += len(open_)
+            s = light[open_] + heavy @ self.dense[open_[:, None], common]
             rows = (open_[:, None] * self.size + np.arange(self.size)).ravel()
-            rows = rows[rows < len(self.vectors)]
-            s = self.vectors[np.ix_(rows, term)] @ w
-            best, number = np.concatenate([best, s]), np.concatenate([number, rows])
-            top = np.lexsort((number, -best))[:k]
-            best, number = best[top], number[top]
+            best, found = np.concatenate([best, s.ravel()]), np.concatenate([found, rows])
+            top = np.flatnonzero(best >= -np.partition(-best, k - 1)[k - 1]) if len(best) > k else np.arange(len(best))
+            top = top[np.lexsort((found[top], -best[top]))[:k]]
+            best, found = best[top], found[top]
             kth = best[-1]
-        return number[best > 1e-9], best[best > 1e-9]
+            i, step = i + step, 2 * step
+        return found[best > 1e-9], best[best > 1e-9]
+
+
+def term_factors(doc: np.ndarray, term: np.ndarray, y: np.ndarray, n_terms: int) -> np.ndarray:
+    """What the TF-IDF weight of each term is multiplied by: chi-squared over ``TELLING``, 1 at least."""
+    n = np.bincount(term, minlength=n_terms).astype(float)
+    a = np.bincount(term, y[doc], minlength=n_terms)
+    total, pos = len(y), y.sum()
+    with np.errstate(divide="ignore", invalid="ignore"):
+        chi = (a - n * pos / max(total, 1)) ** 2 * float(total) ** 3 / (n * (total - n) * pos * (total - pos))
+    return np.where((n >= 3) & np.isfinite(chi), np.maximum(chi / TELLING, 1), 1.0)
+
+
+def build_index(doc: np.ndarray, term: np.ndarray, w: np.ndarray, n_terms: int, y: np.ndarray, weight: np.ndarray, ids: list) -> BlockMaxIndex | None:
+    """The index of the examples with terms: (example, term, weight) sorted by example and term."""
+    if not len(doc):
+        return None
+    w = w / np.sqrt(np.bincount(doc, w * w, len(y)))[doc]
+    off = np.searchsorted(doc, np.arange(len(y) + 1))
+    # examples of one leading term, of those that can fill a block, stand together
+    order = np.lexsort((w, doc))
+    order = order[np.bincount(term, minlength=n_terms)[term[order]] >= 32]
+    lead = np.full(len(y), -1)
+    lead[doc[order]] = term[order]
+    rows = np.flatnonzero(np.diff(off))
+    rows = rows[np.lexsort((rows, lead[rows]))]
+    at = ranges(off[rows], off[rows + 1])
+    vectors = np.repeat(np.arange(len(rows)), np.diff(off)[rows]), term[at].astype(np.int32), w[at], n_terms
+    return BlockMaxIndex(vectors, y[rows].astype(float), weight[rows], [ids[i] for i in rows])
 
 
 @dataclass
 class Model:
-    keep: np.ndarray
-    idf: np.ndarray
+    terms: np.ndarray  # sorted hashes of the examples' terms
+    weight: np.ndarray
     index: BlockMaxIndex | None
     empty: float
     prior: float
+    top: np.ndarray  # sorted hashes of the commonest terms
+    top_weight: np.ndarray
+    totals: DataFrame | None  # all terms' document frequencies, where ``top`` lacks some
+    n_docs: int
     k: int = 15
     alpha: float = 0.05
 
-    def vote(self, term: np.ndarray, count: np.ndarray) -> tuple[float, list]:
+    def vote(self, term: np.ndarray, w: np.ndarray) -> tuple[float, float, list]:
+        """Summed votes for label 1 and of all, by squared products with the nearest examples; the first three."""
         if self.index is None or not len(term):
-            return self.empty, []
-        w = (1 + np.log(count)) * self.idf[term]
-        w = (w / np.sqrt((w * w).sum())).astype(np.float32)
-        number, cosine = self.index.nearest(term, w, self.k)
-        if not len(number):
-            return self.empty, []
-        v = cosine.astype(float) ** 2 * self.index.weight[number]
-        return float((v @ self.index.value[number] + self.alpha * self.prior) / (v.sum() + self.alpha)), [self.index.ids[i] for i in number[:3]]
-
-
-def vectors(docs: DataFrame, keep: np.ndarray, id_col: str = "doc_id") -> DataFrame:
-    """Per document row the numbers of the kept terms in it and their counts."""
-    spark = prepare(docs.sparkSession)
-    key = texts(docs, id_col)
-    kind = key.schema["id"].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(keep)
+            return 0.0, 0.0, []
+        number, product = self.index.nearest(term, w, self.k)
+        v = product.astype(float) ** 2 * self.index.weight[number]
+        return float(v @ self.index.value[number]), float(v.sum()), [self.index.ids[i] for i in number[:3]]
+
+    def votes(self, text: pa.Array) -> list:
+        """Of each text: votes for label 1 and of all, squared norm by the known terms, evidence; other terms and their squared counts' weights."""
+        doc, term, n, names = bags(text)
+        off = np.searchsorted(doc, np.arange(len(text) + 1))
+        tf = 1 + np.log(n)
+        at, ours = find(self.terms, names)
+        top, known = find(self.top, names)
+        known |= ours
+        weight = np.zeros(len(names))
+        weight[known] = self.top_weight[top[known]] if len(self.top) else 0
+        weight[ours] = self.weight[at[ours]]
+        square = segment_sums((tf * weight[term]) ** 2, off)
+        rest = ~known[term]
+        mine = np.flatnonzero(ours[term])
+        own, w = at[term[mine]], (tf * weight[term])[mine].astype(np.float32)
+        cut = np.searchsorted(mine, off)
+        seen: dict[bytes, tuple] = {}
+        out = []
+        for a, z in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            key = own[a:z].tobytes() + w[a:z].tobytes()
+            if key not in seen:
+                seen[key] = self.vote(own[a:z], w[a:z])
+            out.append(seen[key])
+        r_off = pa.array(np.concatenate([[0], np.cumsum(rest)])[off].astype(np.int32))
+        lists = [pa.ListArray.from_arrays(r_off, pa.array(x)) for x in (names[term[rest]], tf[rest] ** 2)]
+        sums = [pa.array([x[i] for x in out], pa.float64()) for i in range(2)]
+        return [*sums, pa.array(square), pa.array([x[2] for x in out], pa.list_(pa.string())), *lists]
+
+
+def document_frequencies(key: DataFrame) -> DataFrame:
+    """(h, c): in how many of the texts each term occurs; a written table."""
 
     def run(batches):
-        for b in batches:
-            doc, term, n = bags(b.column("text"), shared.value)
-            off = pa.array(np.searchsorted(doc, np.arange(len(b.column("id")) + 1)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.ListArray.from_arrays(off, pa.array(term.astype(np.int32))), pa.ListArray.from_arrays(off, pa.array(n.astype(np.int32)))], ["id", "term", "n"])
+        for b in (x for whole in batches for x in parts(whole)):
+            _, term, _, names = bags(b.column("text"))
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.bincount(term, minlength=len(names)).astype(np.int64))], ["h", "c"])
 
-    return key.mapInArrow(run, f"id {kind}, term array<int>, n array<int>")
+    return materialise(key.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, max_train: int = MAX_TRAIN, id_col: str = "doc_id", terms: int = TERMS, k: int = 15) -> tuple[Model, DataFrame]:
-    """The model and the vectors of all documents (a written table), which also give the document frequencies."""
-    prepare(docs.sparkSession)
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, max_train: int = MAX_TRAIN, id_col: str = "doc_id", k: int = 15, known: int = KNOWN) -> tuple[Model, DataFrame]:
+    """The model and the ids and texts of all documents, which give the document frequencies."""
+    spark = prepare(docs.sparkSession)
 
     def featurise(batches):
         for b in batches:
-            doc, term, n = bags(as_array(b.column("text")))
+            doc, term, n, names = bags(as_array(b.column("text")))
             off = pa.array(np.searchsorted(doc, np.arange(b.num_rows + 1)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([b.column("id").cast(pa.string()), b.column("y"), pa.ListArray.from_arrays(off, pa.array(term.astype(np.int32))), pa.ListArray.from_arrays(off, pa.array(n.astype(np.int32)))], ["id", "y", "term", "n"])
+            yield pa.RecordBatch.from_arrays([b.column("id").cast(pa.string()), b.column("y"), pa.ListArray.from_arrays(off, pa.array(names[term])), pa.ListArray.from_arrays(off, pa.array(n.astype(np.int32)))], ["id", "y", "term", "n"])
 
-    got = labelled(docs, labels, label, folds, id_col, max_train, by_class=True).mapInArrow(featurise, "id string, y int, term array<int>, n array<int>").toArrow().sort_by("id")
+    got = labelled(docs, labels, label, folds, id_col, max_train, by_class=True).mapInArrow(featurise, "id string, y int, term array<long>, n array<int>").toArrow().sort_by("id")
+    key = texts(docs, id_col)
     y = got["y"].to_numpy().astype(np.int64)
     lists = got["term"].combine_chunks()
-    doc = np.repeat(np.arange(len(y)), np.diff(lists.offsets.to_numpy()))
-    term, n = lists.flatten().to_numpy().astype(np.int64), got["n"].combine_chunks().flatten().to_numpy()
-    keep = choose_terms(doc, term, y, terms) if len(y) else np.zeros(0, np.int64)
-    vecs = materialise(vectors(docs, keep, id_col))
-    df = np.zeros(len(keep))
-
-    def count(batches):  # one row for each kept term and task
-        total = np.zeros(max(len(keep), 1), np.int64)
-        for b in batches:
-            total += np.bincount(b.column("term").flatten().to_numpy(), minlength=len(total))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["t", "n"])
-
-    for r in vecs.select("term").mapInArrow(count, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).where("n > 0").collect():
-        df[r.t] = r.n
-    n_docs = vecs.count()
-    idf = np.log((1 + n_docs) / (1 + df)) + 1
+    off = lists.offsets.to_numpy()
+    doc = np.repeat(np.arange(len(y)), np.diff(off))
+    terms, term = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    n = got["n"].combine_chunks().flatten().to_numpy()
     shares = {r.y: r["count"] for r in labels.where(F.col(label).isNotNull() & (crc_mod(F.col("doc_id"), folds) != 0)).groupBy(F.col(label).cast("int").alias("y")).count().collect()} if len(y) else {}
     prior = shares.get(1, 0) / max(sum(shares.values()), 1)
-    if not len(y) or not len(keep):
-        return Model(keep, idf, None, prior, prior, k), vecs
-    weight = np.where(y == 1, prior / max(y.mean(), 1e-9), (1 - prior) / max(1 - y.mean(), 1e-9))
-    at = np.minimum(np.searchsorted(keep, term), len(keep) - 1)
-    ok = keep[at] == term
-    mat = np.zeros((len(y), len(keep)), np.float32)
-    mat[doc[ok], at[ok]] = (1 + np.log(n[ok])) * idf[at[ok]]
-    norm = np.sqrt((mat**2).sum(1))
-    none = norm == 0
+    weight = np.where(y == 1, prior / max(y.mean(), 1e-9), (1 - prior) / max(1 - y.mean(), 1e-9)) if len(y) else np.zeros(0)
+    none = np.bincount(doc, minlength=len(y)) == 0
     empty = float((weight * y)[none].sum() / weight[none].sum()) if none.any() else prior
-    rows = np.flatnonzero(~none)
-    rows = rows[np.lexsort((rows, mat[rows].argmax(1)))]  # examples of one leading term stand together
+    if not len(terms):
+        return Model(terms, np.zeros(0), None, empty, prior, terms, np.zeros(0), None, 0, k), key
+    totals = document_frequencies(key)
+    n_docs = docs.count()
+    weigh = lambda df: np.log((1 + n_docs) / (1 + df)) + 1
+    shared = spark.sparkContext.broadcast(terms)  # the terms of at most max_train texts
+
+    def among(batches):
+        for b in batches:
+            yield b.filter(pa.array(find(shared.value, b.column("h").to_numpy())[1]))
+
+    own = totals.mapInArrow(among, "h long, c long").toArrow()
+    df = np.zeros(len(terms))
+    df[np.searchsorted(terms, own["h"].to_numpy())] = own["c"].to_numpy()
+    own_weight = weigh(df) * term_factors(doc, term, y, len(terms))
+    top = totals.orderBy(F.col("c").desc(), "h").limit(known).toArrow().sort_by("h")
+    w = (1 + np.log(n)) * own_weight[term]
     ids = got["id"].to_pylist()
-    index = BlockMaxIndex(mat[rows] / norm[rows, None], y[rows].astype(float), weight[rows], [ids[i] for i in rows]) if len(rows) else None
-    return Model(keep, idf, index, empty, prior, k), vecs
+    index = build_index(doc, term, w, len(terms), y, weight, ids)
+    rest = totals if totals.count() > len(top) else None
+    return Model(terms, own_weight, index, empty, prior, top["h"].to_numpy(), weigh(top["c"].to_numpy()), rest, n_docs, k), key
 
 
-def score(vecs: DataFrame, model: Model, threshold: float = 0.5, folds: int = 5, id_col: str = "doc_id") -> DataFrame:
+def score(docs: DataFrame, model: Model, threshold: float = 0.5, folds: int = 5, id_col: str = "doc_id") -> DataFrame:
     """Per document row: held_out, score, predicted (score >= threshold), evidence (ids of the nearest examples)."""
-    kind = vecs.schema["id"].dataType.simpleString()
-    shared = vecs.sparkSession.sparkContext.broadcast(model)
+    kind = docs.schema["id"].dataType.simpleString()
+    totals, n_docs = model.totals, model.n_docs
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, totals=None))
 
     def run(batches):
-        m = shared.value
-        for b in batches:
-            t, n = (b.column(c) for c in ("term", "n"))
-            off = t.offsets.to_numpy() - t.offsets[0].as_py()
-            t, n = t.flatten().to_numpy(), n.flatten().to_numpy()
-            known: dict[bytes, tuple] = {}
-            out = []
-            for a, z in zip(off[:-1], off[1:], strict=True):
-                key = t[a:z].tobytes() + n[a:z].tobytes()
-                if key not in known:
-                    known[key] = m.vote(t[a:z], n[a:z])
-                out.append(known[key])
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([s for s, _ in out], pa.float64()), pa.array([e for _, e in out], pa.list_(pa.string()))], ["id", "score", "evidence"])
-
-    out = vecs.mapInArrow(run, f"id {kind}, score double, evidence array<string>")
+        task, row = TaskContext.get().partitionId() << 36, 0
+        for b in (x for whole in batches for x in parts(whole)):
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(task + row + np.arange(b.num_rows)), *shared.value.votes(b.column("text"))], ["id", "row", "one", "both", "square", "evidence", "h", "tf2"])
+            row += b.num_rows
+
+    out = docs.mapInArrow(run, f"id {kind}, row long, one double, both double, square double, evidence array<string>, h array<long>, tf2 array<double>")
+    if totals is not None:
+        # the terms outside the broadcast frequencies get theirs by a join
+        out = materialise(out)
+        rest = out.select("row", F.explode(F.arrays_zip("h", "tf2")).alias("x")).select("row", "x.h", "x.tf2").join(totals, "h")
+        rest = rest.groupBy("row").agg(F.sum(F.col("tf2") * F.pow(F.log((1 + n_docs) / (1 + F.col("c"))) + 1, F.lit(2.0))).alias("more"))
+        out = out.join(rest, "row", "left").withColumn("square", F.col("square") + F.coalesce("more", F.lit(0.0)))
+    no_terms = (F.col("square") == 0) | F.lit(model.index is None)
+    a = F.lit(model.alpha) * F.col("square")
+    value = F.when(no_terms, F.lit(float(model.empty))).otherwise((F.col("one") + a * float(model.prior)) / (F.col("both") + a))
+    out = out.select("id", value.alias("score"), "evidence")
     return out.select(F.col("id").alias(id_col), (crc_mod(F.col("id"), folds) == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "evidence")

@@ -276,6 +276,33 @@ def test_classifiers_held_out(spark, none):
     assert quality.score(none, q).count() == 0
 
 
+def test_toxicity_searches_all_terms(spark):
+    """A near copy of a toxic example in words that no other text has is found; norms and frequencies are exact, joined or not."""
+    own = texts(60, 21)
+    held = [i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 5 == 0]
+    free = [i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 5]
+    rare = " ".join(f"qz{chr(97 + i)}odd{i}" for i in range(30))
+    data = [(free[i], t) for i, t in enumerate(own)] + [(free[60], rare), (held[0], rare + " another"), (held[1], "neverseen wordsonly")]
+    d = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(free[i], int(i == 60)) for i in range(61)], "doc_id long, toxic int")
+    got = []
+    for known in (1 << 20, 50):
+        model, vecs = toxicity.fit(d, labels, known=known)
+        assert (model.totals is None) == (known > 50)
+        got.append({r.doc_id: (round(r.score, 6), r.predicted, list(r.evidence)) for r in toxicity.score(vecs, model).collect()})
+    assert got[0] == got[1]
+    assert got[0][held[0]][1:] == (1, [str(free[60])])
+    assert got[0][held[1]] == (round(1 / 61, 6), 0, [])
+    # evidence against brute force over all terms
+    bag = {i: Counter(x for w in SPACE_RE.findall(ascii_lower(t)) for x in [(0, w)] + [(k, w[:k]) for k in (4, 5, 6) if len(w) >= k]) for i, t in data}
+    df = Counter(x for b in bag.values() for x in b)
+    vec = {i: {x: (1 + np.log(n)) * (np.log((1 + len(data)) / (1 + df[x])) + 1) for x, n in b.items()} for i, b in bag.items()}
+    dot = lambda a, b: sum(v * b.get(x, 0) for x, v in a.items())
+    for i in vec:
+        near = sorted(((dot(vec[i], vec[free[j]]) / np.sqrt(dot(vec[free[j]], vec[free[j]])), free[j]) for j in range(61)), reverse=True)
+        assert not near[0][0] or got[0][i][2][0] == str(near[0][1])
+
+
 # 1
 def test_lm_scores(spark, docs, none):
     got = lm_score.score(docs).collect()
