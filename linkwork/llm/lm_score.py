@@ -18,8 +18,9 @@ gradient of the coding cost, after every 64 words. A text's score is the sum of
 log10 of its bits' probabilities: a proper distribution over texts of words.
 ``bits_per_byte`` is the total cost over the text's bytes.
 
-Counts of words (for the base score) cover all training texts and are summed by
-shuffling hashes; the 2**18 commonest are broadcast, those of other words come
+Letters are counted in each distinct rare word of the training texts once, however
+these are partitioned. Counts of words cover all training texts and are summed by
+shuffling words; the 2**18 commonest are broadcast, those of other words come
 by a join. Tables of bit counts have a fixed size; each task sums its texts'
 and they are added by blocks. What executors get is bounded.
 
@@ -33,6 +34,7 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -270,13 +272,18 @@ def _level(depth: np.ndarray) -> np.ndarray:
     return np.minimum(depth // 3, 3)
 
 
-def count_bits(batch: Batch, code: Code, add) -> None:
-    """Adds the batch's bits to the slots: ``add(predictor, slots * 2 + bit)``."""
+def count_words(batch: Batch, code: Code, add) -> None:
+    """Adds the bits of the batch's words to the slots: ``add(predictor, slots * 2 + bit)``."""
     none, size = Tables(np.zeros(0, np.int64)), 1 << 15
     for i in range(0, len(batch.ids), size):
         owner, _, node, bit = code.words.expand(batch.ids[i : i + size])
         for k, s in enumerate(Mixer(none, False).slots([c[i : i + size] for c in batch.contexts], owner, node)):
             add(k, s * 2 + bit)
+
+
+def count_letters(batch: Batch, code: Code, add) -> None:
+    """Adds the bits of the batch's distinct rare words to the slots."""
+    none, size = Tables(np.zeros(0, np.int64)), 1 << 15
     for a, b in _spell_chunks(batch, size):
         owner, _, node, bit = code.letters.expand(batch.letters[a:b])
         for k, s in enumerate(Mixer(none, True).slots(batch.spell_contexts(a, b), owner, node)):
@@ -391,7 +398,7 @@ class Model:
 
 
 def word_totals(key: DataFrame) -> DataFrame:
-    """(h, c): how often each word, and the end, occurs in the texts; a written table."""
+    """(h, word, c): how often each word, and the end (an empty word), occurs in the texts; a written table."""
 
     def run(batches):
         docs = 0
@@ -399,40 +406,48 @@ def word_totals(key: DataFrame) -> DataFrame:
             flat, _ = space_words(b.column("text"))
             codes, words = encode(flat)
             docs += b.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(word_hashes(words).view(np.int64)), pa.array(np.bincount(codes, minlength=len(words)).astype(np.int64))], ["h", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array(word_hashes(words).view(np.int64)), words, pa.array(np.bincount(codes, minlength=len(words)).astype(np.int64))], ["h", "word", "c"])
         if docs:
-            yield pa.RecordBatch.from_arrays([pa.array([END_HASH]), pa.array([docs], pa.int64())], ["h", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array([END_HASH]), pa.array([""]), pa.array([docs], pa.int64())], ["h", "word", "c"])
+
+    return materialise(key.mapInArrow(run, "h long, word string, c long").groupBy("h", "word").agg(F.sum("c").alias("c")))
+
 
-    return materialise(key.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
+def rare_words(totals: DataFrame, known: np.ndarray) -> DataFrame:
+    """(text): each counted word outside ``known`` once."""
+    shared = totals.sparkSession.sparkContext.broadcast(known)
 
+    def run(batches):
+        for b in batches:
+            rare = ~np.isin(b.column("h").to_numpy(), shared.value, kind="sort")
+            yield pa.RecordBatch.from_arrays([b.column("word").filter(pa.array(rare))], ["text"])
+
+    return totals.where("word <> ''").select("h", "word").mapInArrow(run, "text string")
 
-def byte_totals(key: DataFrame, known: np.ndarray) -> np.ndarray:
-    """How often each byte, and the end of a word, occurs in distinct words outside ``known`` (by batch)."""
-    shared = key.sparkSession.sparkContext.broadcast(known)
+
+def byte_totals(rare: DataFrame) -> np.ndarray:
+    """How often each byte, and the end of a word, occurs in the distinct rare words."""
 
     def run(batches):
         total = np.zeros(257, np.int64)
         for b in batches:
-            _, words = encode(space_words(b.column("text"))[0])
-            h = word_hashes(words).view(np.int64)
-            rare = words.filter(pa.array(~np.isin(h, shared.value, kind="sort")))
-            raw, off = word_bytes(rare)
+            raw, off = word_bytes(as_array(b.column("text")))
             total[1:] += np.bincount(raw, minlength=256)
             total[0] += len(off) - 1
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(257)), pa.array(total)], ["k", "n"])
 
     out = np.zeros(257)
-    for r in key.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
+    for r in rare.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
         out[r.k] = r.n
     return out
 
 
-def bit_totals(key: DataFrame, code: Code) -> np.ndarray:
-    """Counts of all slots, summed over tasks block by block."""
+def bit_totals(key: DataFrame, rare: DataFrame, code: Code) -> np.ndarray:
+    """Counts of all slots, of the texts' words and the distinct rare words' letters, summed over tasks block by block."""
     shared = key.sparkSession.sparkContext.broadcast(code)
     size = 2 * int(Tables.offsets[-1])
 
-    def run(batches):
+    def run(batches, count):
         total = np.zeros(size, np.int32)
         todo: list[list[np.ndarray]] = [[] for _ in Tables.sizes]
 
@@ -447,15 +462,9 @@ def bit_totals(key: DataFrame, code: Code) -> np.ndarray:
             if sum(map(len, todo[k])) > 1 << 20:
                 fold(k)
 
-        seen = np.zeros(0, np.int64)  # rare words are spelled once, as far as a task can remember them
         for b in batches:
             for part in slices(b.column("text")):
-                batch = Batch(part, shared.value)
-                new = ~np.isin(batch.rare_hash, seen)
-                batch.keep_rare(new)
-                if len(seen) < SPELLED:
-                    seen = np.concatenate([seen, batch.rare_hash[new]])
-                count_bits(batch, shared.value, add)
+                count(Batch(part, shared.value), shared.value, add)
         for k in range(len(todo)):
             fold(k)
         for i in range(0, size, BLOCK):
@@ -478,7 +487,8 @@ def bit_totals(key: DataFrame, code: Code) -> np.ndarray:
     def row(k: int, total: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([k]), pa.array([pa.compress(np.minimum(total, 2**31 - 1).astype(np.int32).tobytes(), "zstd", asbytes=True)], pa.binary())], ["block", "data"])
 
-    summed = key.mapInArrow(run, "block long, data binary").repartition(F.col("block")).sortWithinPartitions("block").mapInArrow(merge, "block long, data binary").toArrow()
+    blocks = [d.select("text").mapInArrow(partial(run, count=count), "block long, data binary") for d, count in ((key, count_words), (rare, count_letters))]
+    summed = blocks[0].unionByName(blocks[1]).repartition(F.col("block")).sortWithinPartitions("block").mapInArrow(merge, "block long, data binary").toArrow()
     out = np.zeros(size, np.int32)
     for k, data in zip(summed["block"].to_pylist(), summed["data"].to_pylist(), strict=True):
         n = min(BLOCK, size - k * BLOCK)
@@ -498,7 +508,7 @@ def slices(text: pa.Array, size: int = BATCH_BYTES // 4):
 
 def fit(key: DataFrame, totals: DataFrame, n: int) -> Model:
     """The model of training texts ``key`` (id, text), whose words are counted in ``totals``."""
-    top = totals.orderBy(F.col("c").desc(), "h").limit(VOCAB).toArrow()
+    top = totals.select("h", "c").orderBy(F.col("c").desc(), "h").limit(VOCAB).toArrow()
     h, c = top["h"].to_numpy(), top["c"].to_numpy()
     ends = int(np.flatnonzero(h == END_HASH)[0]) if (h == END_HASH).any() else -1
     order = np.argsort(h)
@@ -506,8 +516,9 @@ def fit(key: DataFrame, totals: DataFrame, n: int) -> Model:
     end = ends if ends >= 0 else len(counts)
     if ends < 0:
         counts = np.append(counts, 1)
-    code = Code(h[order], order, Tree(counts), Tree(byte_totals(key, h) + 1), len(c), end)
-    tables = Tables(bit_totals(key, code))
+    rare = rare_words(totals, h)
+    code = Code(h[order], order, Tree(counts), Tree(byte_totals(rare) + 1), len(c), end)
+    tables = Tables(bit_totals(key, rare, code))
     sc = key.sparkSession.sparkContext
     shared = sc.broadcast((code, tables))
     sample = key.select("id").orderBy(F.xxhash64("id"), "id").limit(TUNE).dropDuplicates()
@@ -533,7 +544,7 @@ def score(docs: DataFrame, folds: int = 10, id_col: str = "doc_id") -> DataFrame
     n, v = totals.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     floor = float(np.log10(n + 0.1 * (v + 1)))
     model = fit(training, totals, n)
-    known = totals.orderBy(F.col("c").desc(), "h").limit(KNOWN).toArrow().sort_by("h")
+    known = totals.select("h", "c").orderBy(F.col("c").desc(), "h").limit(KNOWN).toArrow().sort_by("h")
     shared = spark.sparkContext.broadcast((model, known["h"].to_numpy(), known["c"].to_numpy()))
 
     def run(batches):
@@ -560,7 +571,7 @@ def score(docs: DataFrame, folds: int = 10, id_col: str = "doc_id") -> DataFrame
 
     scored = materialise(key.mapInArrow(run, f"id {kind}, row long, n_tokens long, n_top long, base_top double, score double, bits_per_byte double, rest array<long>"))
     # the words outside the broadcast counts get theirs by a join; equal words meet as a few rows of each task
-    rest = scored.select("row", F.explode("rest").alias("h")).join(totals, "h", "left")
+    rest = scored.select("row", F.explode("rest").alias("h")).join(totals.select("h", "c"), "h", "left")
     rest = rest.groupBy("row").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1)) - F.lit(floor)).alias("base_rest"), F.count("c").alias("n_rest"))
     out = scored.drop("rest").join(rest, "row", "left")
     return out.select(

@@ -320,6 +320,13 @@ def test_lm_scores(spark, docs, none):
     assert lm_score.score(none).count() == 0
 
 
+def test_lm_scores_do_not_depend_on_partitions(spark, docs, monkeypatch):
+    """With rare words to spell, however many tasks read the table."""
+    monkeypatch.setattr(lm_score, "VOCAB", 40)
+    got = [Counter((r.doc_id, round(r.score, 3)) for r in lm_score.score(docs.repartition(n, "text")).collect()) for n in (1, 6)]
+    assert got[0] == got[1]
+
+
 def test_lm_code_is_a_distribution():
     """Code lengths of both trees satisfy Kraft's equality, so the mixed bits sum to one."""
     for counts in (np.array([5, 3, 2, 1, 1]), np.arange(1, 50)):
