@@ -12,9 +12,10 @@ bytes: the two, three, four and six bytes before.
 
 The predictions are mixed in the logistic domain by weights that a gate picks
 (how much the context is known, and the depth in the tree). The weights start
-from a run over a bounded sample of training texts, whose own counts are left
-out of the predictions, and are refined online along each text, by the
-gradient of the coding cost, after every 64 words. A text's score is the sum of
+from the mean of runs over groups of training texts, which together are all of
+them and whose own counts are left out of the predictions. Those of words are
+refined online along each text, by the gradient of the coding cost, after every
+64 words; those of letters are not, so that a word costs the same everywhere. A text's score is the sum of
 log10 of its bits' probabilities: a proper distribution over texts of words.
 ``bits_per_byte`` is the total cost over the text's bytes.
 
@@ -46,8 +47,8 @@ from pyspark.sql import functions as F
 from .common import BATCH_BYTES, as_array, crc_mod, encode, materialise, prepare, segment_sums, space_words, texts, word_bytes, word_hashes
 
 VOCAB, KNOWN = 1 << 15, 1 << 18
-#: Training texts on which the first weights are found, at most.
-TUNE = 600
+#: Training texts of a group, on average; each group finds first weights, which are averaged.
+TUNE = 1500
 #: Bits of the slots of each predictor's table.
 WORD_BITS, BYTE_BITS = (16, 20, 20, 18), (18, 19, 20, 20)
 STEP = 64
@@ -521,16 +522,17 @@ def fit(key: DataFrame, totals: DataFrame, n: int) -> Model:
     tables = Tables(bit_totals(key, rare, code))
     sc = key.sparkSession.sparkContext
     shared = sc.broadcast((code, tables))
-    sample = key.select("id").orderBy(F.xxhash64("id"), "id").limit(TUNE).dropDuplicates()
+    texts_ = key.count()
+    by = F.xxhash64(F.col("id").cast("string"), "text")  # groups go by the rows alone, not by their partitions
+    grouped = key.select("text", by.alias("by"), F.pmod(F.xxhash64(by), F.lit(max(-(-texts_ // TUNE), 1))).alias("group"))
 
-    def run(batches):
-        text = pa.concat_arrays([as_array(b.column("text")) for b in batches] or [pa.array([], pa.string())])
-        code, tables = shared.value
-        w = tune(text, code, tables)
-        yield pa.RecordBatch.from_arrays([pa.array([x.ravel().astype(float) for x in w], pa.list_(pa.float64()))], ["w"])
+    def run(t):
+        t = t.sort_by([("by", "ascending"), ("text", "ascending")])
+        w = np.concatenate([x.ravel() for x in tune(as_array(t["text"]), *shared.value)])
+        return pa.table({"k": np.arange(len(w)), "w": w.astype(float) * t.num_rows, "n": np.full(len(w), t.num_rows)})
 
-    got = key.join(F.broadcast(sample), "id").repartition(1).sortWithinPartitions(F.xxhash64("id"), "id").mapInArrow(run, "w array<double>").collect()
-    words, letters = (np.array(r.w, np.float32).reshape(GATES, 5) for r in got) if got else (first_weights(), first_weights())
+    got = grouped.groupBy("group").applyInArrow(run, "k long, w double, n long").groupBy("k").agg((F.sum("w") / F.sum("n")).alias("w")).orderBy("k").collect()
+    words, letters = np.array([r.w for r in got], np.float32).reshape(2, GATES, 5) if got else (first_weights(), first_weights())
     return Model(code, tables.frozen(), words, letters)
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import uuid
 import zlib
 from collections import Counter, defaultdict
 from math import log10
@@ -327,6 +328,23 @@ def test_lm_scores_do_not_depend_on_partitions(spark, docs, monkeypatch):
     assert got[0] == got[1]
 
 
+def test_lm_weights_take_all_training_texts(spark, tmp_path, monkeypatch):
+    """Every text goes through one run for the first weights, however many there are."""
+    own = lm_score.tune
+
+    def noted(text, *rest):
+        (tmp_path / uuid.uuid4().hex).write_text(str(len(text)))
+        return own(text, *rest)
+
+    d = spark.createDataFrame([(i, f"w{i % 7} a{i} b{i % 3}") for i in range(700)], "id long, text string")
+    monkeypatch.setattr(lm_score, "TUNE", 100)
+    monkeypatch.setattr(lm_score, "tune", noted)
+    totals = lm_score.word_totals(d)
+    lm_score.fit(d, totals, 2800)
+    seen = [int(x.read_text()) for x in tmp_path.iterdir()]
+    assert sum(seen) == 700 and len(seen) == 7
+
+
 def test_lm_code_is_a_distribution():
     """Code lengths of both trees satisfy Kraft's equality, so the mixed bits sum to one."""
     for counts in (np.array([5, 3, 2, 1, 1]), np.arange(1, 50)):
