@@ -25,8 +25,8 @@ def _geo_key(parts: list[Column]) -> Column:
     return F.concat(*[F.when(p.isNotNull(), F.concat(F.lit(f"{i}="), p, F.lit("|"))).otherwise(F.lit("")) for i, p in enumerate(parts)])
 
 
-def geo_keys(s1: DataFrame, s23: DataFrame, keys=("country", "state", "city"), fallback: str = "country", cap: int = 8000, order=F.md5) -> tuple[DataFrame, DataFrame]:
-    """(id, geo_key) of queries and of candidates, at most ``cap`` candidates a key by the order of a hash of their id.
+def geo_keys(s1: DataFrame, s23: DataFrame, keys=("country", "state", "city"), fallback: str = "country", cap: int | None = 8000, order=F.md5) -> tuple[DataFrame, DataFrame]:
+    """(id, geo_key) of queries and of candidates, at most ``cap`` (None: all) candidates a key by the order of a hash of their id.
 
     Keys narrow one after the other: a missing query value skips the key; a key
     under which there are candidates is used; the fallback key without any stops
@@ -55,6 +55,8 @@ def geo_keys(s1: DataFrame, s23: DataFrame, keys=("country", "state", "city"), f
     every = F.array(*[F.when(_all_there(keys, m), _geo_key([F.col(k) if on else F.lit(None).cast("string") for k, on in zip(keys, m, strict=True)])) for m in masks])
     places = s23.select("id", F.explode(F.array_compact(every)).alias("geo_key"))
     places = places.join(queries.select("geo_key").distinct(), "geo_key", "left_semi")
+    if cap is None:
+        return queries, places.select("id", "geo_key")
     rank = F.row_number().over(Window.partitionBy("geo_key").orderBy(order("id"), "id"))
     return queries, places.withColumn("rank", rank).where(F.col("rank") <= cap).select("id", "geo_key")
 

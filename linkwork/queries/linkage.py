@@ -120,7 +120,7 @@ g4 AS (SELECT *, NOT stop AND city IS NOT NULL AND EXISTS (SELECT 1 FROM s23 c W
 pool AS (SELECT g4.id AS s1, c.id AS rid FROM g4 JOIN s23 c ON (NOT uc OR c.country = g4.country) AND (NOT us OR c.state = g4.state) AND (NOT ut OR c.city = g4.city))"""
 
 
-def geo(a: DataFrame, b: DataFrame, cap: int = 8000):
+def geo(a: DataFrame, b: DataFrame, cap: int | None = None):
     return blocking.geo_keys(a, b, cap=cap)
 
 

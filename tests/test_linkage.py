@@ -12,7 +12,7 @@ from linkwork.functions import text
 from linkwork.functions.phonetics import metaphone
 from linkwork.operators import blocking, decision, evaluation, features, tfidf, validate
 from linkwork.operators.records import normalize_records
-from linkwork.queries import ORACLE, QUERIES
+from linkwork.queries import ORACLE, QUERIES, linkage
 from linkwork.sources import tables
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings labels".split()
@@ -63,6 +63,14 @@ def test_geo_pool_narrows_and_stops(spark):
     assert got == {"q1": {"c1", "c2"}, "q2": {"c1", "c2", "c3"}, "q3": {"c1"}}
 
 
+def test_geo_queries_keep_whole_pools(spark):
+    """The registered SQL has no cap, so a key with more than 8,000 candidates keeps them all."""
+    pool = places(spark, [(f"c{i}", "us", None, None) for i in range(8010)])
+    q = places(spark, [("q1", "us", None, None)])
+    assert blocking.geo_pool(*linkage.geo(q, pool)).count() == 8010
+    assert blocking.geo_pool(*blocking.geo_keys(q, pool)).count() == 8000
+
+
 def test_relative_features(spark):
     df = spark.createDataFrame([("a", "1", 0.9), ("a", "2", 0.5), ("a", "3", 0.5), ("b", "1", 0.7)], "s1 string, rid string, s double")
     r = {(x.s1, x.rid): x for x in features.relative_features(df, "s").collect()}
