@@ -137,10 +137,11 @@ def buckets(sig: DataFrame) -> DataFrame:
     rows = sig.where("prefix is not null").select(F.explode("prefix").alias("sh"), "node", "n").repartition("sh").sortWithinPartitions("sh", "n", "node")
 
     def run(batches):
-        held = None
+        held = flushed = None
 
         def out(sh, node, n, flush):
-            """Whole runs of equal sh; the last one is held back unless flush, or long."""
+            """Whole runs of equal sh; the last one is held back unless flush, or long: then its further rows are kept whatever their number."""
+            nonlocal flushed
             new = np.concatenate([[True], (sh[1:] != sh[:-1]) | (node[1:] != node[:-1])])
             sh, node, n = sh[new], node[new], n[new]
             start = np.flatnonzero(np.concatenate([[True], sh[1:] != sh[:-1]]))
@@ -148,6 +149,10 @@ def buckets(sig: DataFrame) -> DataFrame:
             length = np.diff(np.append(start, len(sh)))
             size = np.repeat(length, length)[:cut]
             keep = size > 1
+            if flushed is not None:
+                keep |= sh[:cut] == flushed
+            if cut == len(sh):
+                flushed = sh[-1]
             batch = pa.RecordBatch.from_arrays([pa.array(x[:cut][keep]) for x in (sh, node, n)] + [pa.array(size[keep])], ["sh", "node", "n", "size"])
             return batch, (sh[cut:], node[cut:], n[cut:])
 

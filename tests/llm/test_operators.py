@@ -203,6 +203,13 @@ def test_join_matches_brute_force(spark, none):
     assert ngram_join.join(none).count() == 0 and ngram_join.keep_one(none).count() == 0
 
 
+def test_long_bucket_keeps_its_tail(spark):
+    """A shingle of over 65,536 nodes is given out early; a single row that follows stays in its bucket."""
+    ngram_join.prepare(spark)
+    sig = spark.range(70_001).selectExpr("array(7L) AS prefix", "id AS node", "10L AS n")
+    assert ngram_join.buckets(sig).select("node").distinct().count() == 70_001
+
+
 def test_rtree_bounds_lose_no_pair():
     rng = np.random.default_rng(1)
     sets = [rng.choice(400, 40, replace=False) for _ in range(80)]
