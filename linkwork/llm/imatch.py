@@ -1,8 +1,8 @@
 """Document fingerprints after I-Match, with DataFrame functions only.
 
-Document frequencies are counted for hashed terms in a fixed number of slots.
-Terms whose slot lies in the chosen band of inverse document frequency make the
-lexicon, which is a bounded table and so is broadcast. A text's distinct terms are
+Document frequencies are counted for each term by its 64-bit hash. Terms in the
+chosen band of inverse document frequency make the lexicon, which is broadcast up
+to a checked size and joined by a shuffle beyond. A text's distinct terms are
 sorted and those of the lexicon kept (of a text with at most 32 terms, all);
 several randomised subsets of the lexicon each give one hash of the set of kept
 terms that fall in them. How dense the subsets are goes by the number of the
@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 
 from .common import materialise, shared_dir, texts
 
-#: Slots of document frequencies: the bound of the lexicon.
-SLOTS = 1 << 20
+#: Rows of the lexicon that are broadcast, at most.
+BROADCAST = 1 << 20
+#: Keys of the rows that stay without a term of the lexicon, so that a shuffle spreads them.
+MARKS = 256
 #: The band: at least this many documents, at most this share of them.
 LEAST, MOST = 2, 0.05
 #: Randomised subsets at each level.
@@ -43,16 +45,12 @@ def _terms(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.split(F.lower(text), _SPLIT)))
 
 
-def _slot(h: Column) -> Column:
-    return F.pmod(h, F.lit(SLOTS)).cast("int")
-
-
 def lexicon(docs: DataFrame, least: int = LEAST, most: float = MOST) -> DataFrame:
-    """The slots (int) in the band, and the mark -1; a written table of at most SLOTS + 1 rows. ``docs`` has text."""
+    """The hashes (long) of the terms in the band, and the marks 0 to MARKS - 1; a written table. ``docs`` has text."""
     n = docs.count()
-    slots = docs.select(F.explode(_terms(F.col("text"))).alias("t")).where("t <> ''").select(_slot(F.xxhash64("t")).alias("slot"))
-    band = slots.groupBy("slot").count().where((F.col("count") >= least) & (F.col("count") <= max(least, most * n))).select("slot")
-    return materialise(band.unionByName(docs.sparkSession.range(1).select(F.lit(-1).alias("slot"))))
+    terms = docs.select(F.explode(_terms(F.col("text"))).alias("t")).where("t <> ''").select(F.xxhash64("t").alias("h"))
+    band = terms.groupBy("h").count().where((F.col("count") >= least) & (F.col("count") <= max(least, most * n))).select(F.col("h").alias("slot"))
+    return materialise(band.unionByName(docs.sparkSession.range(MARKS).select(F.col("id").alias("slot"))))
 
 
 def _subset_sums() -> list[Column]:
@@ -120,9 +118,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", ranges: int | None = N
         power(F.col("level")).alias("coarse"),
         power(F.col("level") + 1).alias("fine"),
         F.when(F.col("pos") > 0, F.xxhash64("t")).alias("h"),
-        F.when((F.col("pos") == 0) | F.col("few"), F.lit(-1)).otherwise(_slot(F.xxhash64("t"))).alias("slot"),
+        F.when((F.col("pos") == 0) | F.col("few"), F.pmod(F.xxhash64("part", "row", "pos"), F.lit(MARKS))).otherwise(F.xxhash64("t")).alias("slot"),
     )
-    kept = rows.join(F.broadcast(band), "slot", "left_semi").groupBy(*key_cols).agg(*_subset_sums())
+    kept = rows.join(F.broadcast(band) if band.count() <= BROADCAST else band.hint("merge"), "slot", "left_semi").groupBy(*key_cols).agg(*_subset_sums())
     kept = kept.select("part", "row", "which", "ghost", "id", "n", F.lower(F.hex("sha")).alias("sha"), _hashes().alias("fp"))
     pair = kept.groupBy("part", "row").agg(
         F.first(F.when(F.col("which") == 0, F.struct("ghost", "id", "n", "sha")), ignorenulls=True).alias("meta"),

@@ -161,6 +161,17 @@ def test_fingerprints(spark, docs, none):
     assert imatch.fingerprints(none).count() == 0
 
 
+def test_lexicon_counts_terms_exactly(spark, docs, monkeypatch):
+    """Terms of one document each stay outside the band, however many; a shuffled lexicon gives the same prints."""
+    d = spark.createDataFrame([(i, " ".join(f"t{i}x{j}" for j in range(1000))) for i in range(40)], "id long, text string")
+    assert imatch.lexicon(d).count() <= 256
+    got = []
+    for bound in (1 << 20, 0):
+        monkeypatch.setattr(imatch, "BROADCAST", bound)
+        got.append(Counter(map(tuple, imatch.fingerprints(docs, ranges=5).collect())))
+    assert got[0] == got[1]
+
+
 # 6
 def test_join_matches_brute_force(spark, none):
     r = random.Random(8)
