@@ -1,4 +1,4 @@
-"""Toxicity: nearest labelled examples by exact TF-IDF cosine.
+"""Toxicity: nearest labelled examples by exact cosine of TF-IDF weights, raised for telling terms.
 
 Terms are 64-bit hashes of words and of word beginnings (4, 5 and 6 bytes), A-Z
 lower-cased. All terms of a bounded, stratified sample of labelled rows span the
