@@ -5,21 +5,26 @@ of at least ``percent``/100, exactly; the result is connected components.
 
 1. Every text becomes its set of hashed shingles. Equal sets are one node (a
    64-bit hash of the set), so copies cost one node however many there are.
-2. Linked sets share one of the first n - ceil(t n) + 1 shingles in any common
-   order. The order puts shingles that are frequent in the corpus last (by a
-   sketch of fixed size over all documents), so that passages and lines which
-   many documents share hardly ever meet. Nodes that share such a shingle stand
-   in one bucket.
-3. In a quarter of the buckets, the node whose shingles are the most shared is
-   compared with the others of about its size. The links found join most
-   classes without any pairs within them.
-4. What is left are pairs between different classes. The nodes of a bucket are
-   points: the counts of their shingles in 128 hash groups. An R-tree over them
+2. The hashes of a set are dealt to groups, more than two linked sets of about
+   that size can differ in. So linked sets have a group that is equal and not
+   empty: its hash is a bucket that both stand in. A set with more empty groups
+   than the number of groups allows for is also dealt by another salt, and after
+   ``SALTS`` of them by its least shingles (of which linked sets share one). A
+   passage that many documents share fills few groups wholly, so it makes few
+   buckets, whatever the size of the corpus; nothing is counted or ordered by
+   frequency.
+3. In rounds, every bucket that holds several classes has a leader, its least
+   node by an order of the round, and every node is compared with the leader of
+   most of its buckets. The links found contract classes, and buckets of one
+   class go. So a group of near
+   copies costs a pair a node and round, and not the square of its size.
+4. What is left are pairs between different classes of a bucket. Its nodes are
+   points: the counts of their shingles in 256 hash groups. An R-tree over them
    bounds the overlap of two nodes, or of two boxes, by the summed coordinate
    minima; boxes of one class, or which can't reach the least overlap, are not
-   opened. A pair is taken in the first bucket that both have. Pairs that survive
-   are bounded again by 2,048 groups, then verified on their shingles, so
-   nothing is lost.
+   opened. A large bucket is split into pairs of its parts, and a pair is taken
+   in the first bucket that both have. Pairs that survive, here and in the
+   rounds, are verified on their shingles, so nothing is lost.
 
 Defined results: null, empty and wordless texts have no shingles and link with
 nothing (component: the own id); with fewer words than a shingle the whole
@@ -29,21 +34,25 @@ component unless all its ids are null; other columns are not looked at.
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import encode, materialise, mix64, parts, prepare, space_words, texts, word_hashes
 
-#: Slots of the frequency sketch, groups of the count vectors, points of a leaf.
-SLOTS, GROUPS, LEAF = 1 << 17, 128, 48
-#: Groups of the finer vectors that bound single pairs, and of a node's buckets those that tell where a pair has met before.
-FINE, EARLY = 2048, 6
-#: Node ids up to which they are broadcast to pick their texts; beyond, the join shuffles.
+#: Groups of the count vectors, points of a leaf, bytes of text that Python works on at once.
+GROUPS, LEAF, SLICE = 256, 48, 2 << 20
+#: Of a node's buckets those that tell where a pair has met before.
+EARLY = 24
+#: Ways to deal a set to groups before its least shingles are taken; rounds of leaders.
+SALTS, ROUNDS = 6, 2
+#: Rows of node ids up to which they are broadcast to pick their texts; beyond, the join shuffles.
 BROADCAST_NODES = 1_000_000
-#: Members that are compared with one leader in a task.
-STAR = 256
+#: Members that are compared with one leader in a task, and nodes of a part of a bucket.
+STAR, PART = 256, 4096
 
 
 def shingle_hashes(text: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,14 +63,18 @@ def shingle_hashes(text: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     n = np.diff(off)
     count = np.where(n >= width, n - width + 1, np.minimum(n, 1))
     out_off = np.concatenate([[0], np.cumsum(count)])
-    begin = np.repeat(off[:-1] - out_off[:-1], count) + np.arange(out_off[-1])
-    size = np.repeat(np.minimum(n, width), count)
-    value = np.zeros(len(begin), np.uint64)
+    if not len(h):
+        return np.zeros(0, np.uint64), out_off
+    # sums of the words' hashes, each place in the shingle with its own odd factor
+    factor = mix64(np.arange(1, width + 1)) | np.uint64(1)
+    total = np.zeros(len(h), np.uint64)
     for k in range(width):
-        at = begin + k
-        ok = k < size
-        value = np.where(ok, mix64(value * np.uint64(0x9E3779B97F4A7C15) + h[np.minimum(at, max(len(h) - 1, 0))] + np.uint64(k + 1)), value) if len(h) else value
-    return value, out_off
+        total[: len(h) - k] += h[k:] * factor[k]
+    begin = np.repeat(off[:-1] - out_off[:-1], count) + np.arange(out_off[-1])
+    value = total[begin]
+    for i in np.flatnonzero((n > 0) & (n < width)).tolist():
+        value[out_off[i]] = (h[off[i] : off[i + 1]] * factor[: n[i]]).sum(dtype=np.uint64) + np.uint64(n[i])
+    return mix64(value), out_off
 
 
 def least_overlap(n, percent: int):
@@ -79,179 +92,189 @@ def vector(b: bytes, groups: int) -> np.ndarray:
     return np.frombuffer(b, {1: "<u1", 2: "<u2", 4: "<u4"}[len(b) // groups])
 
 
-def sketch(key: DataFrame, width: int) -> np.ndarray:
-    """Order class of each slot: 0 for usual frequencies, then by powers of four of the mean."""
-
-    def count(batches):
-        total = np.zeros(SLOTS, np.int64)
-        for b in (x for whole in batches for x in parts(whole)):
-            h, _ = shingle_hashes(b.column("text"), width)
-            total += np.bincount((h >> np.uint64(40)).astype(np.int64) % SLOTS, minlength=SLOTS)
-        at = np.flatnonzero(total)
-        for i in range(0, len(at), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 50_000].astype(np.int32)), pa.array(total[at[i : i + 50_000]])], ["slot", "n"])
-
-    sums = key.mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # SLOTS rows at most
-    out = np.zeros(SLOTS, np.int8)
-    n = sums["n"].to_numpy().astype(float)
-    if len(n):
-        out[sums["slot"].to_numpy()] = np.floor(np.log2(np.maximum(n / max(n.sum() / SLOTS, 8.0), 1.0)) / 2)
-    return out
-
-
-def signatures(key: DataFrame, order: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(id, node, n, prefix, vec, hash of the text); prefix and vec only for the first row of a node in a task."""
-    shared = key.sparkSession.sparkContext.broadcast(order)
+@cache
+def levels(percent: int, top: int) -> tuple[list[int], list[int], list[int]]:
+    """For rising numbers of differences, up to ``top``: the number itself, the empty groups allowed for, and all groups."""
+    most, empty, groups = [], [], []
+    d = 1
+    while True:
+        # the least set that can have over the last level's differences with a linked one
+        least = ((most[-1] if most else 0) + 1) * percent / (100 - percent)
+        e = 0
+        for _ in range(20):
+            k = d + 1 + e
+            mean = k * np.exp(-least / k)
+            e = int(np.ceil(mean + 2 * np.sqrt(mean) - 0.3))
+        most.append(d)
+        empty.append(e)
+        groups.append(d + 1 + e)
+        if d >= top:
+            return most, empty, groups
+        d = max(d + 1, d * 7 // 5)
+
+
+def bucket_hashes(u: np.ndarray, percent: int, value: np.ndarray | None = None) -> np.ndarray:
+    """The buckets of a set of sorted distinct hashes: linked, unequal sets have one in common."""
+    n, out = len(u), []
+    if n * (100 - percent) // percent < 1:
+        return np.zeros(0, np.uint64)  # links with equal sets only
+    value = mix64(u) if value is None else value
+    least = value[: n - least_overlap(n, percent) + 1] + np.uint64(0x5851F42D4C957F2D)
+    if percent < 70:  # most groups would be empty
+        return least
+    # differences that it can have with a linked set
+    low, high = max(1, (100 - percent) * n // 100 - 2), (100 - percent) * n // percent
+    most, empty, groups = levels(percent, 1 << int(high).bit_length())
+    for i in range(int(np.searchsorted(most, low)), int(np.searchsorted(most, high)) + 1):
+        k = groups[i]
+        for salt in range(SALTS):
+            g = ((u if not salt else mix64(u + np.uint64(salt))) % np.uint64(k)).astype(np.int64)
+            total = np.zeros(k, np.uint64)
+            np.add.at(total, g, value)
+            full = np.flatnonzero(total)
+            out.append(mix64(total[full] + full.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((i * SALTS + salt + 1) << 40)))
+            if k - len(full) <= empty[i]:
+                break
+        else:
+            out.append(least)
+    return np.concatenate(out)
+
+
+def signatures(key: DataFrame, width: int, percent: int) -> DataFrame:
+    """(id, node, n, buckets, vec, hash of the text); buckets and vec only for the first row of a node in a task."""
     kind = key.schema["id"].dataType.simpleString()
     key = key.select("id", "text", F.xxhash64("text").alias("hash"))
 
     def run(batches):
-        rank = shared.value
         seen: set[int] = set()
-        for b in (x for whole in batches for x in parts(whole)):
+        for b in (x for whole in batches for x in parts(whole, size=SLICE)):
             h, off = shingle_hashes(b.column("text"), width)
-            node, size, prefix, vec = [], [], [], []
+            node, size, bucket, vec = [], [], [], []
             for a, z in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
                 u = np.unique(h[a:z])
-                n = len(u)
-                k = node_of(u)
+                value = mix64(u)
+                k = node_of(value)
                 node.append(k)
-                size.append(n)
-                if not n or k in seen:
-                    prefix.append(None)
+                size.append(len(u))
+                if not len(u) or k in seen:
+                    bucket.append(None)
                     vec.append(None)
                     continue
                 seen.add(k)
-                cls = rank[(u >> np.uint64(40)).astype(np.int64) % SLOTS]
-                p = n - int(least_overlap(n, percent)) + 1
-                first = u[:p] if not cls.any() else u[np.argsort(cls, kind="stable")[:p]]
-                prefix.append(first.view(np.int64))
+                bucket.append(bucket_hashes(u, percent, value).view(np.int64))
                 vec.append(count_vector(u, GROUPS))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(vec, pa.binary()), b.column("hash")], ["id", "node", "n", "prefix", "vec", "hash"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(bucket, pa.list_(pa.int64())), pa.array(vec, pa.binary()), b.column("hash")], ["id", "node", "n", "buckets", "vec", "hash"])
 
-    return key.mapInArrow(run, f"id {kind}, node long, n long, prefix array<long>, vec binary, hash long")
+    return key.mapInArrow(run, f"id {kind}, node long, n long, buckets array<long>, vec binary, hash long")
 
 
-def buckets(sig: DataFrame) -> DataFrame:
-    """(sh, node, n, size): the nodes of every shingle that at least two have in their prefix."""
-    rows = sig.where("prefix is not null").select(F.explode("prefix").alias("sh"), "node", "n").repartition("sh").sortWithinPartitions("sh", "n", "node")
+def met_nodes(sig: DataFrame) -> DataFrame:
+    """(sh, node, lead): the nodes of every bucket of two at least, and the least of them; a bucket streams through, however long."""
+    rows = sig.where("buckets is not null").select(F.explode("buckets").alias("sh"), "node").repartition("sh").sortWithinPartitions("sh", "node")
 
     def run(batches):
-        held = flushed = None
+        sh, node = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        lead = several = None  # of the bucket of the row that is held back
 
-        def out(sh, node, n, flush):
-            """Whole runs of equal sh; the last one is held back unless flush, or long: then its further rows are kept whatever their number."""
-            nonlocal flushed
+        def give(sh, node, lead, several, last):
+            """The rows but the last one, unless it is the end; what the next call needs."""
             new = np.concatenate([[True], (sh[1:] != sh[:-1]) | (node[1:] != node[:-1])])
-            sh, node, n = sh[new], node[new], n[new]
-            start = np.flatnonzero(np.concatenate([[True], sh[1:] != sh[:-1]]))
-            cut = len(sh) if flush or len(sh) - start[-1] > 1 << 16 else start[-1]
-            length = np.diff(np.append(start, len(sh)))
-            size = np.repeat(length, length)[:cut]
-            keep = size > 1
-            if flushed is not None:
-                keep |= sh[:cut] == flushed
-            if cut == len(sh):
-                flushed = sh[-1]
-            batch = pa.RecordBatch.from_arrays([pa.array(x[:cut][keep]) for x in (sh, node, n)] + [pa.array(size[keep])], ["sh", "node", "n", "size"])
-            return batch, (sh[cut:], node[cut:], n[cut:])
+            sh, node = sh[new], node[new]
+            same = sh[1:] == sh[:-1]
+            keep = np.concatenate([[several], same]) | np.concatenate([same, [False]])
+            start = np.concatenate([[0], np.flatnonzero(~same) + 1])
+            first = node[start]
+            first[0] = lead
+            first = np.repeat(first, np.diff(np.append(start, len(sh))))
+            end = len(sh) - (not last)
+            out = [pa.array(x[:end][keep[:end]]) for x in (sh, node, first)]
+            return pa.RecordBatch.from_arrays(out, ["sh", "node", "lead"]), sh[-1:], node[-1:], first[-1], keep[-1]
 
         for b in batches:
-            if not b.num_rows:
-                continue
-            cols = [b.column(c).to_numpy() for c in ("sh", "node", "n")]
-            if held is not None:
-                cols = [np.concatenate([x, y]) for x, y in zip(held, cols, strict=True)]
-            batch, held = out(*cols, False)
-            yield batch
-        if held is not None and len(held[0]):
-            yield out(*held, True)[0]
+            if b.num_rows:
+                more = [b.column(c).to_numpy() for c in ("sh", "node")]
+                if lead is None:
+                    lead, several = more[1][0], False
+                batch, sh, node, lead, several = give(np.concatenate([sh, more[0]]), np.concatenate([node, more[1]]), lead, several, False)
+                yield batch
+        if len(sh):
+            yield give(sh, node, lead, several, True)[0]
 
-    return rows.mapInArrow(run, "sh long, node long, n long, size long")
+    return rows.mapInArrow(run, "sh long, node long, lead long")
 
 
-def star_pairs(met: DataFrame, percent: int) -> DataFrame:
-    """(a, b): in a quarter of the buckets, the most shared node against the others in bands of sizes."""
-    some = met.where(F.pmod(F.xxhash64("sh"), F.lit(4)) == 0)
-    some = some.withColumn("shared", F.avg("size").over(Window.partitionBy("node")))
-    x = F.log("n") / float(np.log(100 / percent))
-    some = some.select("sh", "node", "n", "shared", F.explode(F.array(F.floor(x) * 2, F.floor(x + 0.5) * 2 + 1)).alias("band"))
-    lead = some.groupBy("sh", "band").agg(F.max_by(F.struct("node", "n"), F.struct("shared", "node")).alias("lead"))
-    both = some.join(lead, ["sh", "band"]).where((F.col("lead.node") != F.col("node")) & _sizes_fit(F.col("n"), F.col("lead.n"), percent))
-    return both.select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
+def leaders(rows: DataFrame) -> DataFrame:
+    """(a, b): every node b of the rows (node, lead) with the leader a of most of its buckets."""
+    often = rows.groupBy("node", "lead").agg(F.count("*").alias("n")).groupBy("node").agg(F.max(F.struct("n", "lead")).alias("at"))
+    return often.select(F.col("at.lead").alias("a"), F.col("node").alias("b"))
 
 
-def _sizes_fit(n, m, percent: int):
-    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+def live_rows(rows: DataFrame, known: DataFrame, salt: int) -> DataFrame:
+    """(sh, node, cls, lead, lead_cls) of the buckets (sh, node) that hold several classes; of buckets of the same nodes one."""
+    named = rows.select("sh", "node").join(known, "node", "left").select("sh", "node", F.coalesce("root", "node").alias("cls"))
+    order = F.struct(F.xxhash64("node", F.lit(salt)).alias("by"), "node", "cls")
+    each = named.groupBy("sh").agg(F.min("cls").alias("x"), F.max("cls").alias("y"), F.min(order).alias("lead"), F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("all"), F.sum(F.shiftright(F.xxhash64("node", F.lit(-1)), 24)).alias("sum"))
+    each = each.where("x <> y").groupBy("size", "all", "sum", "lead").agg(F.min("sh").alias("sh"))
+    return named.join(each.select("sh", "size", F.col("lead.node").alias("lead"), F.col("lead.cls").alias("lead_cls")), "sh")
 
 
-def bounded(key: DataFrame, sig: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that the summed minima of finer count vectors leave; a written table."""
-    pairs = materialise(pairs)
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def vectors(rows: list[bytes], groups: int) -> np.ndarray:
+    same = {len(b) for b in rows}
+    return vector(b"".join(rows), groups * len(rows)).reshape(-1, groups) if len(same) == 1 else np.stack([vector(b, groups) for b in rows])
 
-    def fine(batches):
-        for b in (x for whole in batches for x in parts(whole)):
-            h, off = shingle_hashes(b.column("text"), width)
-            node, n, vec = [], [], []
-            for i, want in enumerate(b.column("node").to_pylist()):
-                u = np.unique(h[off[i] : off[i + 1]])
-                if node_of(u) == want:
-                    node.append(want)
-                    n.append(len(u))
-                    vec.append(count_vector(u, FINE))
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(vec, pa.binary())], ["node", "n", "vec"])
-
-    vecs = materialise(_texts_of(key, sig, nodes).mapInArrow(fine, "node long, n long, vec binary").dropDuplicates(["node"]))
-    side = lambda c: vecs.select(F.col("node").alias(c), F.struct("n", "vec").alias(f"v{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.col("va.n").alias("na"), F.col("vb.n").alias("nb"), F.col("va.vec").alias("x"), F.col("vb.vec").alias("y"))
 
-    def bound(batches):
-        for b in batches:
-            na, nb = (b.column(c).to_numpy() for c in ("na", "nb"))
-            reach = np.fromiter((np.minimum(vector(x, FINE), vector(y, FINE)).sum(dtype=np.int64) for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True)), np.int64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(reach * (100 + percent) >= percent * (na + nb)))
+def node_of(value: np.ndarray) -> int:
+    """The name of a set of distinct hashes, each finalised once more; 0 for the empty set."""
+    return int(mix64(value.sum(dtype=np.uint64, keepdims=True) + np.uint64(len(value)))[0].astype(np.int64)) if len(value) else 0
+
 
-    return materialise(both.mapInArrow(bound, "a long, b long"))
+def bodies(key: DataFrame, sig: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the nodes, each once; a written table."""
+    rows = sig.join(nodes, "node").groupBy("node", "id", "hash").agg((F.count("*") > 1).alias("many"))
+    ids = materialise(rows.groupBy("node").agg(F.min(F.struct("many", "id", "hash")).alias("at")).select("node", F.col("at.id").alias("own"), "at.hash", "at.many"))
+    key = key.withColumn("h", F.xxhash64("text"))
+    few = ids.count() <= BROADCAST_NODES
+    found = key.join(F.broadcast(ids) if few else ids, (key["h"] == ids["hash"]) & key["id"].eqNullSafe(ids["own"])).select("node", "text", "many")
+    out = found.where("not many")
+    if not ids.where("many").isEmpty():  # all rows of the node are repeated rows
+        out = out.unionByName(found.where("many").dropDuplicates(["node"]))
+    return materialise(out.drop("many"))
 
 
-def node_of(u: np.ndarray) -> int:
-    """The name of a set of distinct hashes; 0 for the empty set."""
-    if not len(u):
-        return 0
-    with np.errstate(over="ignore"):
-        return int(mix64(np.array([mix64(u).sum(dtype=np.uint64) + np.uint64(len(u))]))[0].astype(np.int64))
+def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the summed minima of the count vectors leave."""
+    side = lambda c: points.select(F.col("node").alias(c), F.struct("n", "vec").alias(f"v{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.col("va.n").alias("na"), F.col("vb.n").alias("nb"), F.col("va.vec").alias("x"), F.col("vb.vec").alias("y"))
 
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                n, m = (b.column(c).to_numpy() for c in ("na", "nb"))
+                reach = np.minimum(*(vectors(b.column(c).to_pylist(), GROUPS) for c in ("x", "y"))).sum(1, dtype=np.int64)
+                ok = (reach * (100 + percent) >= percent * (n + m)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+                yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok))
 
-def _texts_of(key: DataFrame, sig: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) of the nodes: the texts of an id that has the node, whose own sets the reader must check, since ids may repeat."""
-    ids = materialise(sig.where("vec is not null").join(nodes, "node").groupBy("node").agg(F.min("id").alias("id")))
-    if ids.count() <= BROADCAST_NODES:
-        ids = F.broadcast(ids)
-    return key.join(ids, key["id"].eqNullSafe(ids["id"])).select("node", "text")
+    return both.mapInArrow(run, "a long, b long")
 
 
-def verify(key: DataFrame, sig: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose shingle sets are alike: bounded, then compared on the texts; each left side with at most STAR others in a task."""
-    pairs = bounded(key, sig, pairs, width, percent)
+def verify(body: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose shingle sets are alike, compared on the texts; each left side with at most STAR others in a task."""
+    pairs = materialise(pairs)
     count = pairs.groupBy("a").count().select("a", F.ceil(F.col("count") / STAR).alias("parts"))
     member = pairs.join(count, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), F.col("b").alias("node"))
     leader = count.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("a").alias("node"))
     asked = member.unionByName(leader)
-    found = _texts_of(key, sig, asked.select("node").distinct())
-    found = asked.join(found, "node").select("a", "part", "node", "text")
-    rows = found.repartition("a", "part").sortWithinPartitions("a", "part", (F.col("node") != F.col("a")).cast("int"), "node")
+    few = pairs.count() <= BROADCAST_NODES // 2
+    rows = body.join(F.broadcast(asked) if few else asked, "node").repartition("a", "part").sortWithinPartitions("a", "part", (F.col("node") != F.col("a")).cast("int"))
 
     def run(batches):
         lead, current = None, None
-        for b in (x for whole in batches for x in parts(whole)):
+        for b in (x for whole in batches for x in parts(whole, size=SLICE)):
             h, off = shingle_hashes(b.column("text"), width)
             a, part, node = (b.column(c).to_numpy() for c in ("a", "part", "node"))
             links = []
             for i in range(b.num_rows):
                 u = np.unique(h[off[i] : off[i + 1]])
-                if node_of(u) != node[i]:
-                    continue  # another row of the same id
                 if node[i] == a[i]:
                     lead, current = (a[i], part[i]), u
                 elif lead == (a[i], part[i]):
@@ -260,7 +283,7 @@ def verify(key: DataFrame, sig: DataFrame, pairs: DataFrame, width: int, percent
                         links.append((int(a[i]), int(node[i])))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
 
-    return materialise(rows.mapInArrow(run, "a long, b long").distinct())
+    return materialise(rows.select("a", "part", "node", "text").mapInArrow(run, "a long, b long"))
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -284,8 +307,8 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
 class RTree:
     """Leaves of neighbouring points with the maxima and the sizes they span, split at the median of the widest coordinate."""
 
-    def __init__(self, vec: np.ndarray, n: np.ndarray, cls: np.ndarray):
-        self.vec, self.n, self.cls = vec, n, cls
+    def __init__(self, vec: np.ndarray, n: np.ndarray, cls: np.ndarray, early: np.ndarray | None = None):
+        self.vec, self.n, self.cls, self.early = vec, n, cls, early  # early: the first buckets of each point
         self.leaves: list[np.ndarray] = []
         self._split(np.arange(len(n)))
         self.top = np.stack([vec[x].max(0) for x in self.leaves])
@@ -303,26 +326,32 @@ class RTree:
             order = x[np.lexsort((x, self.vec[x, axis]))]
             todo += [order[: len(x) // 2], order[len(x) // 2 :]]
 
-    def pairs(self, percent: int, early: np.ndarray, sh: int) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the pairs of different classes that the bound of their overlap leaves, without those that met in a bucket before."""
-        left, right = [], []
+    def pairs(self, percent: int, other: RTree | None = None, sh: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pairs of different classes, within the tree or with another's, that the bound of their overlap leaves, without those that met in a bucket before ``sh``."""
+        left, right, o = [], [], other or self
         for i, x in enumerate(self.leaves):
-            reach = np.minimum(self.top[i], self.top[i:]).sum(1, dtype=np.int64)
-            need = percent * (self.low[i] + self.low[i:])
-            ok = (reach * (100 + percent) >= need) & (100 * self.high[i] >= percent * self.low[i:]) & (100 * self.high[i:] >= percent * self.low[i])
-            ok &= (self.only[i] == 0) | (self.only[i:] != self.only[i])
-            for j in np.flatnonzero(ok) + i:
-                y = self.leaves[j]
-                shared = np.minimum(self.vec[x][:, None], self.vec[y][None]).sum(2, dtype=np.int64)
-                n, m = self.n[x][:, None], self.n[y][None]
-                good = (shared * (100 + percent) >= percent * (n + m)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (self.cls[x][:, None] != self.cls[y][None])
-                if i == j:
+            j = 0 if other else i
+            reach = np.minimum(self.top[i], o.top[j:]).sum(1, dtype=np.int64)
+            need = percent * (self.low[i] + o.low[j:])
+            ok = (reach * (100 + percent) >= need) & (100 * self.high[i] >= percent * o.low[j:]) & (100 * o.high[j:] >= percent * self.low[i])
+            ok &= (self.only[i] == 0) | (o.only[j:] != self.only[i])
+            for j in np.flatnonzero(ok) + j:
+                y = o.leaves[j]
+                shared = np.minimum(self.vec[x][:, None], o.vec[y][None]).sum(2, dtype=np.int64)
+                n, m = self.n[x][:, None], o.n[y][None]
+                good = (shared * (100 + percent) >= percent * (n + m)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (self.cls[x][:, None] != o.cls[y][None])
+                if not other and i == j:
                     good &= np.arange(len(x))[:, None] < np.arange(len(y))[None]
                 p, q = np.nonzero(good)
                 p, q = x[p], y[q]
-                new = ~((early[p][:, :, None] == early[q][:, None, :]) & (early[p] < sh)[:, :, None]).any((1, 2))
-                left.append(p[new])
-                right.append(q[new])
+                for k in range(0, len(p), 1 << 14) if self.early is not None else ():
+                    e, f = self.early[p[k : k + (1 << 14)]], o.early[q[k : k + (1 << 14)]]
+                    new = ~((e[:, :, None] == f[:, None, :]) & (e < sh)[:, :, None]).any((1, 2))
+                    left.append(p[k : k + (1 << 14)][new])
+                    right.append(q[k : k + (1 << 14)][new])
+                if self.early is None:
+                    left.append(p)
+                    right.append(q)
         return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64),) * 2
 
 
@@ -332,31 +361,35 @@ def _objects(values: list) -> np.ndarray:
     return out
 
 
-def rest_pairs(met: DataFrame, sig: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of different classes in one bucket that the R-tree's bounds leave."""
-    named = met.drop("size").join(known, "node", "left").select("sh", "node", "n", F.coalesce("root", "node").alias("cls"))
-    named = materialise(named)
-    open_ = named.groupBy("sh").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).where("x <> y").select("sh")
-    rows = named.join(open_, "sh", "left_semi")
-    points = sig.where("vec is not null").groupBy("node").agg(F.first("vec").alias("vec"))
-    # the first buckets of each node, in the order of their names: a pair is taken in the first that both have
-    early = open_.join(named.select("sh", "node"), "sh").groupBy("node").agg(F.slice(F.sort_array(F.collect_list("sh")), 1, EARLY).alias("early"))
+def first_buckets(early: list) -> np.ndarray:
+    out = np.full((len(early), EARLY), np.iinfo(np.int64).max)
+    for k, e in enumerate(early):
+        out[k, : len(e)] = e
+    return out
+
+
+def rest_pairs(live: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of different classes in one bucket that the R-tree's bounds leave. A bucket of over PART nodes goes to tasks as pairs of its parts."""
+    early = live.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("sh")), 1, EARLY).alias("early"))
     points = points.join(early, "node")
-    rows = rows.join(points, "node").repartition("sh").sortWithinPartitions("sh", "n", "node")
+    cut = F.ceil(F.col("size") / PART).cast("int")
+    rows = live.select("sh", "node", "cls", cut.alias("cut"), F.pmod(F.xxhash64("node", F.lit("part")), cut).cast("int").alias("own"))
+    rows = rows.select("sh", "node", "cls", "own", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("with"))
+    rows = rows.select("sh", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"), "own", "node", "cls").join(points, "node")
+    rows = rows.repartition("sh", "x", "y").sortWithinPartitions("sh", "x", "y", "own", "node")
 
     def run(batches):
-        def of(sh, node, n, cls, vec, early):
-            cuts = np.flatnonzero(np.concatenate([[True], sh[1:] != sh[:-1], [True]]))
+        def of(sh, x, y, own, node, cls, n, vec, early):
+            cuts = np.flatnonzero(np.concatenate([[True], (sh[1:] != sh[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]), [True]]))
             a, b = [], []
-            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-                if j - i > 1:
-                    met = np.full((j - i, EARLY), np.iinfo(np.int64).max)
-                    for k, e in enumerate(early[i:j]):
-                        met[k, : len(e)] = e
-                    p, q = RTree(np.stack([vector(v, GROUPS) for v in vec[i:j]]), n[i:j], cls[i:j]).pairs(percent, met, int(sh[i]))
+            for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                m = i + int(np.searchsorted(own[i:j], x[i], "right")) if x[i] != y[i] else j
+                trees = [RTree(vectors(vec[p:q], GROUPS), n[p:q], cls[p:q], first_buckets(early[p:q])) for p, q in ((i, m), (m, j)) if q > p]
+                if x[i] == y[i] or len(trees) == 2:
+                    p, q = trees[0].pairs(percent, trees[1] if len(trees) == 2 else None, int(sh[i]))
                     a.append(node[i + p])
-                    b.append(node[i + q])
-            a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+                    b.append(node[(m if len(trees) == 2 else i) + q])
+            a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
             both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
@@ -364,29 +397,39 @@ def rest_pairs(met: DataFrame, sig: DataFrame, known: DataFrame, percent: int) -
         for b in batches:
             if not b.num_rows:
                 continue
-            cols = [b.column(c).to_numpy() for c in ("sh", "node", "n", "cls")] + [np.array(b.column("vec").to_pylist(), object), _objects(b.column("early").to_pylist())]
+            cols = [b.column(c).to_numpy() for c in ("sh", "x", "y", "own", "node", "cls", "n")] + [_objects(b.column(c).to_pylist()) for c in ("vec", "early")]
             if held is not None:
-                cols = [np.concatenate([x, y]) for x, y in zip(held, cols, strict=True)]
-            last = np.flatnonzero(cols[0] != cols[0][-1])
+                cols = [np.concatenate([p, q]) for p, q in zip(held, cols, strict=True)]
+            last = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]) | (cols[2] != cols[2][-1]))
             cut = int(last[-1]) + 1 if len(last) else 0
             if cut:
-                yield of(*(x[:cut] for x in cols))
-            held = [x[cut:] for x in cols]
+                yield of(*(p[:cut] for p in cols))
+            held = [p[cut:] for p in cols]
         if held is not None:
             yield of(*held)
 
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def classes(key: DataFrame, width: int, percent: int) -> DataFrame:
+def classes(key: DataFrame, width: int, percent: int, rounds: int | None = None) -> DataFrame:
     """(id, hash, n, cls) of each row of ``key`` (id, text): rows of equal cls are one component; cls is only a name."""
-    sig = materialise(signatures(key, sketch(key, width), width, percent))
-    met = materialise(buckets(sig))
-    links = verify(key, sig, star_pairs(met, percent), width, percent)
-    known = components(links)
-    more = verify(key, sig, rest_pairs(met, sig, known, percent), width, percent)
-    if not more.isEmpty():
-        known = components(links.unionByName(more))
+    rounds = rounds or ROUNDS
+    sig = materialise(signatures(key, width, percent))
+    met = materialise(met_nodes(sig))
+    nodes = met.select("node").distinct()
+    points = materialise(sig.where("vec is not null").join(nodes, "node").groupBy("node").agg(F.first("vec").alias("vec"), F.first("n").alias("n")))
+    body = bodies(key, sig, points.select("node"))
+    links = verify(body, bounded(leaders(met.where("node <> lead")), points, percent), width, percent)
+    known, live = components(links), met
+    for k in range(1, rounds + 1):
+        live = materialise(live_rows(live, known, k))
+        if live.isEmpty():
+            break
+        pairs = bounded(leaders(live.where("cls <> lead_cls")), points, percent) if k < rounds else rest_pairs(live, points, percent)
+        more = verify(body, pairs, width, percent)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            known = components(links)
     return sig.select("id", "hash", "node", "n").join(known, "node", "left").select("id", "hash", "n", F.coalesce("root", "node").alias("cls"))
 
 

@@ -214,11 +214,61 @@ def test_join_matches_brute_force(spark, none):
     assert ngram_join.join(none).count() == 0 and ngram_join.keep_one(none).count() == 0
 
 
-def test_long_bucket_keeps_its_tail(spark):
-    """A shingle of over 65,536 nodes is given out early; a single row that follows stays in its bucket."""
+def test_long_bucket_keeps_its_nodes(spark):
+    """A bucket of many batches loses no node and has one leader; nodes that stand alone go."""
     ngram_join.prepare(spark)
-    sig = spark.range(70_001).selectExpr("array(7L) AS prefix", "id AS node", "10L AS n")
-    assert ngram_join.buckets(sig).select("node").distinct().count() == 70_001
+    sig = spark.range(70_001).selectExpr("array(7L, 100 + id, id % 2) AS buckets", "id AS node").repartition(5)
+    got = ngram_join.met_nodes(sig.unionByName(sig.where("node < 9"))).where("sh = 7").toPandas()
+    assert len(got) == got["node"].nunique() == 70_001 and set(got["lead"]) == {0}
+    assert ngram_join.met_nodes(sig).where("sh >= 100").count() == 0
+
+
+def test_linked_sets_share_a_bucket():
+    """Every pair that links has a bucket in common, at all sizes and thresholds, by groups and by least hashes."""
+    rng = np.random.default_rng(4)
+    for percent in (60, 80, 85, 95):
+        for n in [*range(1, 60), 150, 700]:
+            for _ in range(6):
+                a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+                cut = int(rng.integers(0, n // 3 + 1))
+                b = np.concatenate([a[cut:], rng.integers(0, 1 << 63, int(rng.integers(0, n // 3 + 1))).astype(np.uint64)])
+                a, b = np.unique(a), np.unique(b)
+                both = len(np.intersect1d(a, b))
+                if both < max(len(a), len(b)) and 100 * both >= percent * (len(a) + len(b) - both):
+                    assert len(np.intersect1d(ngram_join.bucket_hashes(a, percent), ngram_join.bucket_hashes(b, percent)))
+
+
+def test_join_of_large_groups(spark, monkeypatch):
+    """Chains and stars of near copies in split buckets: components as by brute force, few pairs."""
+    r = random.Random(3)
+    base = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(60)]
+    own = []
+    for i in range(400):
+        w = list(base)
+        for k in range(i % 40):  # a chain: neighbours are alike, the ends are not
+            w[k] = f"z{k}"
+        w[50 + i % 7] += "x" * (i % 3)
+        own.append(" ".join(w))
+    sets = [shingles(t, 4) for t in own]
+    par = list(range(len(own)))
+
+    def find(x):
+        while par[x] != x:
+            x = par[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if 100 * both >= 85 * (len(a) + len(sets[j]) - both):
+                x, y = sorted((find(i), find(j)))
+                par[y] = x
+    monkeypatch.setattr(ngram_join, "PART", 16)
+    d = spark.createDataFrame(list(enumerate(own)), "doc_id long, text string").repartition(4)
+    for rounds in (1, 3):
+        monkeypatch.setattr(ngram_join, "ROUNDS", rounds)
+        got = {x.doc_id: x.component_id for x in ngram_join.join(d).collect()}
+        assert got == {i: find(i) for i in range(len(own))}
 
 
 def test_rtree_bounds_lose_no_pair():
@@ -227,7 +277,7 @@ def test_rtree_bounds_lose_no_pair():
     sets += [np.concatenate([s[:-1], [500 + i]]) for i, s in enumerate(sets[:40])]
     vec = np.stack([np.bincount(s % 64, minlength=64) for s in sets]).astype(np.uint8)
     n, cls = np.full(len(sets), 40), np.arange(1, len(sets) + 1)
-    p, q = ngram_join.RTree(vec, n, cls).pairs(85, np.full((len(sets), 6), np.iinfo(np.int64).max), 0)
+    p, q = ngram_join.RTree(vec, n, cls).pairs(85)
     found = {tuple(sorted(x)) for x in zip(p.tolist(), q.tolist(), strict=True)}
     real = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if len(set(sets[i]) & set(sets[j])) * 185 >= 85 * 80}
     assert real and real <= found
