@@ -22,10 +22,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_RE, alnum_words, ascii_lower, prepare, texts
+from .common import ALNUM_RE, alnum_words, ascii_lower, parts, prepare, texts
 
 #: Words of the items that one automaton may hold (some hundred bytes each).
 MAX_WORDS = 1_000_000
+#: Bytes of text that are split into words at once.
+SLICE = 2 << 20
 
 
 class SuffixAutomaton:
@@ -178,7 +180,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
     shared = automata(benchmark, window, max_words)
 
     def scan(batches):
-        for b in batches:
+        for b in (x for whole in batches for x in parts(whole, size=SLICE)):
             ids, text = b.column("id"), b.column("text")
             hits, items = None, [set() for _ in range(len(ids))]
             for sam in shared:  # one at a time; each is bounded
@@ -232,7 +234,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_c
     names = docs.columns
 
     def clean(batches):
-        for b in batches:
+        for b in (x for whole in batches for x in parts(whole, size=SLICE)):
             text = b.column(names.index("text"))
             hits = offsets = None
             for sam in shared:
