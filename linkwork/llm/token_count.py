@@ -71,6 +71,7 @@ class Transducer:
         self.slots = np.full(1 << SLOT_BITS, -1, np.int64)  # open addressing: state and class
         self.hops = np.zeros(1 << SLOT_BITS, np.int64)  # next state and tokens
         self.known: dict[tuple[int, int], int] = {}
+        self.units: dict[str, int] = {}  # tokens of the units that long texts have had
         self.size = 0
 
     def _parts(self, s: str) -> tuple[list[str], int]:
@@ -198,7 +199,17 @@ class Transducer:
         return np.concatenate(out) if out else np.zeros(0, np.int64)
 
     def count(self, unit: str) -> int:
-        """Tokens of one unit."""
+        """Tokens of one unit; those of short units are remembered, up to a bound."""
+        n = self.units.get(unit)
+        if n is None:
+            n = self._count(unit)
+            if len(unit) <= 32:
+                if len(self.units) > MAX_TRANSITIONS // 8:
+                    self.units.clear()
+                self.units[unit] = n
+        return n
+
+    def _count(self, unit: str) -> int:
         state = n = 0
         for c in unit:
             k = int(self.classes[ord(c)])
@@ -271,26 +282,36 @@ def scan_chunks(text: str, t: Transducer, size: int = CHUNK) -> int:
 # --- batches ----------------------------------------------------------------
 
 
+def _unit_counts(plain: pa.Array, t: Transducer, runs: bool) -> np.ndarray:
+    """Tokens of texts that are cut before each mark, or with ``runs`` before each run of marks."""
+    if runs:
+        plain = pc.replace_substring(plain, " ", MARK)
+        if t.prefix:
+            plain = pc.if_else(pc.equal(plain, ""), plain, pc.binary_join_element_wise(MARK, plain, ""))
+        plain = pc.replace_substring_regex(plain, f"({MARK}+)", "\x00\\1")
+    elif t.prefix:
+        plain = pc.if_else(pc.equal(plain, ""), plain, pc.binary_join_element_wise("\x00" + MARK, pc.replace_substring(plain, " ", "\x00" + MARK), ""))
+    else:
+        plain = pc.replace_substring(plain, " ", "\x00" + MARK)
+    if "\n" not in t.inside:  # stands alone anyway; without it there are fewer distinct units
+        plain = pc.replace_substring(plain, "\n", "\x00\n\x00")
+    lists = pc.split_pattern(plain, "\x00")
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    codes, units = encode(lists.flatten())
+    return segment_sums(t.counted(units)[codes], offsets - offsets[0])
+
+
 def batch_counts(text: pa.Array, t: Transducer, chunk: int = CHUNK) -> np.ndarray:
     """Tokens of each text of an Arrow array; distinct units are counted once."""
     text = as_array(text)
-    odd = np.zeros(len(text), bool)
-    for p in ("  ", MARK, "\x00"):  # runs of marks, or what is used as a separator here
-        odd |= pc.match_substring(text, p).to_numpy(zero_copy_only=False)
-    odd |= pc.starts_with(text, " ").to_numpy(zero_copy_only=False) | (pc.utf8_length(text).to_numpy() > chunk)
+    odd = pc.match_substring(text, "\x00").to_numpy(zero_copy_only=False) | (pc.utf8_length(text).to_numpy() > chunk)  # the separator here, or several chunks
+    runs = pc.starts_with(text, " ").to_numpy(zero_copy_only=False)
+    for p in ("  ", MARK):  # runs of marks
+        runs |= pc.match_substring(text, p).to_numpy(zero_copy_only=False)
     out = np.zeros(len(text), np.int64)
-    if not odd.all():
-        plain = text.filter(pa.array(~odd))
-        if t.prefix:
-            plain = pc.if_else(pc.equal(plain, ""), plain, pc.binary_join_element_wise("\x00" + MARK, pc.replace_substring(plain, " ", "\x00" + MARK), ""))
-        else:
-            plain = pc.replace_substring(plain, " ", "\x00" + MARK)
-        if "\n" not in t.inside:  # stands alone anyway; without it there are fewer distinct units
-            plain = pc.replace_substring(plain, "\n", "\x00\n\x00")
-        lists = pc.split_pattern(plain, "\x00")
-        offsets = lists.offsets.to_numpy().astype(np.int64)
-        codes, units = encode(lists.flatten())
-        out[~odd] = segment_sums(t.counted(units)[codes], offsets - offsets[0])
+    for at in (~odd & ~runs, ~odd & runs):
+        if at.any():
+            out[at] = _unit_counts(text.filter(pa.array(at)), t, bool(runs[at][0]))
     for i in np.flatnonzero(odd):
         out[i] = scan_chunks(text[int(i)].as_py(), t, chunk)
     return out
