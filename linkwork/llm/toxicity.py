@@ -43,6 +43,8 @@ TELLING = 25
 COMMON = 2048
 #: Document frequencies that are broadcast, at most.
 KNOWN = 1 << 18
+#: Queries that are searched together.
+QUERIES = 128
 
 
 def term_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -128,33 +130,53 @@ class BlockMaxIndex:
         self.opened = 0
 
     def nearest(self, term: np.ndarray, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and products of the k nearest examples with a product over 0."""
-        number = self.number[term]
-        rare, common = number < 0, number[number >= 0]
-        a, z = self.post[term[rare]], self.post[term[rare] + 1]
-        at = ranges(a, z)
-        light = np.bincount(self.row[at], np.repeat(w[rare], z - a) * self.w[at], len(self.dense) * self.size).astype(np.float32).reshape(-1, self.size)
-        heavy = w[~rare]
-        bound = light.max(1) + heavy @ self.top[common]
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        slack = 1e-5 * float(w.sum())
-        best, found, kth, i, step = np.zeros(0, np.float32), np.zeros(0, np.int64), 0.0, 0, 4
-        while i < len(order):  # more blocks at a time
-            open_ = order[i : i + step]
-            open_ = open_[bound[open_] > kth - slack] if len(best) >= k else open_
-            if not len(open_):
-                break
-            self.opened += len(open_)
-            s = light[open_] + heavy @ self.dense[open_[:, None], common]
-            rows = (open_[:, None] * self.size + np.arange(self.size)).ravel()
-            best, found = np.concatenate([best, s.ravel()]), np.concatenate([found, rows])
-            top = np.flatnonzero(best >= -np.partition(-best, k - 1)[k - 1]) if len(best) > k else np.arange(len(best))
-            top = top[np.lexsort((found[top], -best[top]))[:k]]
-            best, found = best[top], found[top]
-            kth = best[-1]
+        """Numbers and products of the k nearest examples of one query with a product over 0."""
+        return self.search([term], [w], k)[0]
+
+    def search(self, terms: list[np.ndarray], ws: list[np.ndarray], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of several queries. Each opens its blocks in falling order of its bounds; queries that open a block at once share a matrix product."""
+        blocks, size = len(self.dense), self.size
+        heavy = np.zeros((len(terms), self.dense.shape[1]), np.float32)
+        light = np.zeros((len(terms), blocks, size), np.float32)
+        for q, (term, w) in enumerate(zip(terms, ws, strict=True)):
+            number = self.number[term]
+            rare = number < 0
+            heavy[q, number[~rare]] = w[~rare]
+            a, z = self.post[term[rare]], self.post[term[rare] + 1]
+            at = ranges(a, z)
+            light[q] = np.bincount(self.row[at], np.repeat(w[rare], z - a) * self.w[at], blocks * size).reshape(-1, size)
+        bound = light.max(2) + heavy @ self.top
+        order = np.argsort(-bound, axis=1, kind="stable")
+        bound = np.take_along_axis(bound, order, 1)
+        slack = np.array([1e-5 * float(w.sum()) for w in ws])
+        best = np.full((len(terms), blocks * size), -1, np.float32)
+        kth, i, step, open_ = np.zeros(len(terms)), 0, 2, np.arange(len(terms))
+        while i < blocks and len(open_):  # more blocks at a time
+            todo = (bound[open_, i : i + step] > np.maximum(kth - slack, 0)[open_, None]).nonzero()
+            query, block = open_[todo[0]], order[open_[todo[0]], i + todo[1]]
+            self.opened += len(query)
+            by = np.argsort(block, kind="stable")
+            query, block = query[by], block[by]
+            cuts = np.flatnonzero(np.diff(block, prepend=-1, append=-1))
+            for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                q, v = query[x:y], int(block[x])
+                best[q, v * size : (v + 1) * size] = heavy[q] @ self.dense[v] + light[q, v]
             i, step = i + step, 2 * step
-        return found[best > 1e-9], best[best > 1e-9]
+            if blocks * size > k:
+                kth[open_] = -np.partition(-best[open_], k - 1, axis=1)[:, k - 1]
+            if i < blocks:
+                open_ = open_[bound[open_, i] > np.maximum(kth - slack, 0)[open_]]
+        out = []
+        for q, (term, w) in enumerate(zip(terms, ws, strict=True)):
+            found = np.flatnonzero(best[q] > max(kth[q] - slack[q], 0))
+            number = self.number[term]
+            own = number >= 0
+            # once more with doubles and in one order, so that equal texts and examples are equal
+            s = (self.dense[found[:, None] // size, number[own], found[:, None] % size] * w[own].astype(float)).sum(1) + light[q].ravel()[found]
+            top = np.lexsort((found, -s))[:k]
+            top = top[s[top] > 1e-9]
+            out.append((found[top], s[top]))
+        return out
 
 
 def term_factors(doc: np.ndarray, term: np.ndarray, y: np.ndarray, n_terms: int) -> np.ndarray:
@@ -171,7 +193,7 @@ def build_index(doc: np.ndarray, term: np.ndarray, w: np.ndarray, n_terms: int,
     """The index of the examples with terms: (example, term, weight) sorted by example and term."""
     if not len(doc):
         return None
-    w = w / np.sqrt(np.bincount(doc, w * w, len(y)))[doc]
+    w = w / np.sqrt(np.bincount(doc, w * w, len(y))).astype(np.float32)[doc]
     off = np.searchsorted(doc, np.arange(len(y) + 1))
     # examples of one leading term, of those that can fill a block, stand together
     order = np.lexsort((w, doc))
@@ -199,13 +221,16 @@ class Model:
     k: int = 15
     alpha: float = 0.05
 
-    def vote(self, term: np.ndarray, w: np.ndarray) -> tuple[float, float, list]:
-        """Summed votes for label 1 and of all, by squared products with the nearest examples; the first three."""
-        if self.index is None or not len(term):
-            return 0.0, 0.0, []
-        number, product = self.index.nearest(term, w, self.k)
-        v = product.astype(float) ** 2 * self.index.weight[number]
-        return float(v @ self.index.value[number]), float(v.sum()), [self.index.ids[i] for i in number[:3]]
+    def vote(self, terms: list[np.ndarray], ws: list[np.ndarray]) -> list[tuple[float, float, list]]:
+        """Of each query: summed votes for label 1 and of all, by squared products with the nearest examples; the first three."""
+        if self.index is None:
+            return [(0.0, 0.0, [])] * len(terms)
+        out = []
+        for i in range(0, len(terms), QUERIES):
+            for number, product in self.index.search(terms[i : i + QUERIES], ws[i : i + QUERIES], self.k):
+                v = product**2 * self.index.weight[number]
+                out.append((float(v @ self.index.value[number]), float(v.sum()), [self.index.ids[x] for x in number[:3]]))
+        return out
 
     def votes(self, text: pa.Array) -> list:
         """Of each text: votes for label 1 and of all, squared norm by the known terms, evidence; other terms and their squared counts' weights."""
@@ -223,13 +248,12 @@ class Model:
         mine = np.flatnonzero(ours[term])
         own, w = at[term[mine]], (tf * weight[term])[mine].astype(np.float32)
         cut = np.searchsorted(mine, off)
-        seen: dict[bytes, tuple] = {}
-        out = []
-        for a, z in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-            key = own[a:z].tobytes() + w[a:z].tobytes()
-            if key not in seen:
-                seen[key] = self.vote(own[a:z], w[a:z])
-            out.append(seen[key])
+        spans = list(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True))
+        first: dict[bytes, int] = {}  # texts of equal terms are searched once
+        same = [first.setdefault(own[a:z].tobytes() + w[a:z].tobytes(), i) for i, (a, z) in enumerate(spans)]
+        asked = [i for i in first.values() if spans[i][1] > spans[i][0]]
+        got = dict(zip(asked, self.vote([own[slice(*spans[i])] for i in asked], [w[slice(*spans[i])] for i in asked]), strict=True))
+        out = [got.get(i, (0.0, 0.0, [])) for i in same]
         r_off = pa.array(np.concatenate([[0], np.cumsum(rest)])[off].astype(np.int32))
         lists = [pa.ListArray.from_arrays(r_off, pa.array(x)) for x in (names[term[rest]], tf[rest] ** 2)]
         sums = [pa.array([x[i] for x in out], pa.float64()) for i in range(2)]
@@ -247,6 +271,17 @@ def document_frequencies(key: DataFrame) -> DataFrame:
     return materialise(key.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
 
 
+def commonest(totals: DataFrame, known: int) -> int:
+    """The least frequency that at most ``known`` terms reach, by the numbers of terms of each frequency."""
+    reached, least = 0, 1
+    for r in totals.groupBy("c").count().orderBy(F.col("c").desc()).toLocalIterator():
+        reached += r["count"]
+        if reached > known:
+            least = r.c + 1
+            break
+    return least
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, max_train: int = MAX_TRAIN, id_col: str = "doc_id", k: int = 15, known: int = KNOWN) -> tuple[Model, DataFrame]:
     """The model and the ids and texts of all documents, which give the document frequencies."""
     spark = prepare(docs.sparkSession)
@@ -259,12 +294,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5
 
     got = labelled(docs, labels, label, folds, id_col, max_train, by_class=True).mapInArrow(featurise, "id string, y int, term array<long>, n array<int>").toArrow().sort_by("id")
     key = texts(docs, id_col)
-    y = got["y"].to_numpy().astype(np.int64)
-    lists = got["term"].combine_chunks()
-    off = lists.offsets.to_numpy()
-    doc = np.repeat(np.arange(len(y)), np.diff(off))
-    terms, term = np.unique(lists.flatten().to_numpy(), return_inverse=True)
-    n = got["n"].combine_chunks().flatten().to_numpy()
+    y, ids = got["y"].to_numpy().astype(np.int64), got["id"].to_pylist()
+    lists, n = got["term"].combine_chunks(), got["n"].combine_chunks().flatten().to_numpy()
+    doc = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
+    terms = np.unique(lists.flatten().to_numpy())
+    term = np.searchsorted(terms, lists.flatten().to_numpy()).astype(np.int32)
+    tf = (1 + np.log(n)).astype(np.float32)
+    del got, lists, n
+    pa.default_memory_pool().release_unused()
     shares = {r.y: r["count"] for r in labels.where(F.col(label).isNotNull() & (crc_mod(F.col("doc_id"), folds) != 0)).groupBy(F.col(label).cast("int").alias("y")).count().collect()} if len(y) else {}
     prior = shares.get(1, 0) / max(sum(shares.values()), 1)
     weight = np.where(y == 1, prior / max(y.mean(), 1e-9), (1 - prior) / max(1 - y.mean(), 1e-9)) if len(y) else np.zeros(0)
@@ -285,11 +322,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5
     df = np.zeros(len(terms))
     df[np.searchsorted(terms, own["h"].to_numpy())] = own["c"].to_numpy()
     own_weight = weigh(df) * term_factors(doc, term, y, len(terms))
-    top = totals.orderBy(F.col("c").desc(), "h").limit(known).toArrow().sort_by("h")
-    w = (1 + np.log(n)) * own_weight[term]
-    ids = got["id"].to_pylist()
-    index = build_index(doc, term, w, len(terms), y, weight, ids)
-    rest = totals if totals.count() > len(top) else None
+    index = build_index(doc, term, tf * own_weight[term].astype(np.float32), len(terms), y, weight, ids)
+    del doc, term, tf
+    # the frequencies from the least one of which there are not too many
+    least = commonest(totals, known)
+    top = totals.where(F.col("c") >= least).toArrow().sort_by("h")
+    rest = totals if least > 1 else None
     return Model(terms, own_weight, index, empty, prior, top["h"].to_numpy(), weigh(top["c"].to_numpy()), rest, n_docs, k), key
 
 
