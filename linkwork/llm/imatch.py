@@ -19,7 +19,7 @@ edited text, the terms, and the next fingerprint.
 Defined results: a null text is empty; empty texts have the fingerprint "0" and
 likeness 1 to each other, 0 to others; equal texts have equal fingerprints;
 rows of equal id follow each other in order of their texts' hashes; null ids
-come last; a single document is its own next; other columns are not looked at.
+come last; ids of any type that can be ordered; a single document is its own next; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -80,6 +80,13 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when(n > 0, same / n).otherwise(F.lit(0.0))
 
 
+def _place(key: DataFrame) -> Column:
+    """A number that never falls as the id rises: the id itself, or of other types the first six bytes of its text."""
+    if key.schema["id"].dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal", "date", "timestamp"):
+        return F.col("id")
+    return F.conv(F.rpad(F.substring(F.hex(F.encode(F.col("id").cast("string"), "UTF-8")), 1, 12), 12, "0"), 16, 10).cast("long")
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", ranges: int | None = None, least: int = LEAST, most: float = MOST) -> DataFrame:
     """Per document row: n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     spark = docs.sparkSession
@@ -87,11 +94,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", ranges: int | None = N
     key = texts(docs, id_col).select("id", F.coalesce("text", F.lit("")).alias("text"))
     band = lexicon(key, least, most)
     ranges = ranges or min(256, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cut = key.select(F.percentile_approx("id", [i / ranges for i in range(1, ranges)], 10_000).alias("q")).first().q or []
+    place = _place(key)
+    cut = key.select(F.percentile_approx(place, [i / ranges for i in range(1, ranges)], 10_000).alias("q")).first().q or []
     cut = sorted(set(cut), reverse=True)
     number = F.lit(len(cut))  # ids over the first bound stand in range 0, nulls in the last
     for i, x in reversed(list(enumerate(cut))):
-        number = F.when(F.col("id") > x, i).otherwise(number)
+        number = F.when(place > x, i).otherwise(number)
     key = key.withColumn("part", number.cast("int"))
     first = sorted((r.part, r.id) for r in key.groupBy("part").agg(F.max("id").alias("id")).collect())
     ghost = None
