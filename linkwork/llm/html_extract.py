@@ -19,7 +19,7 @@ space, blocks are joined in page order by one newline. Scripts, styles,
 templates and form controls have no text.
 
 Defined results: null and empty pages, and pages without main text, give the
-empty text; a page cut off anywhere gives what stands before the cut; repeated
+empty text; text outside all block elements is judged as a block of its own; a page cut off anywhere gives what stands before the cut; repeated
 rows are extracted each; columns other than page_id, url and html are not
 looked at.
 """
@@ -68,14 +68,24 @@ _TAGS = {t: k for k, ts in enumerate(TAGS) for t in ts}
 class Page:
     """Nodes in page order: tag, parent, attribute groups, own runs of text."""
 
-    __slots__ = ("tag", "parent", "depth", "groups", "runs", "length", "linked", "stops", "elements", "y")
+    __slots__ = ("tag", "parent", "depth", "groups", "runs", "length", "linked", "stops", "elements", "y", "outer")
 
     def __init__(self, source: str, mark: str | None = None):
         self.tag, self.parent, self.depth, self.groups = ["#"], [-1], [0], [0]
         self.length, self.linked, self.stops, self.elements, self.y = [0], [0], [0], [0], [1]
         self.runs: list[tuple[int, str]] = []  # node and text, in page order
+        self.outer = 0
         self._read(source, mark)
 
+    def _outside(self) -> int:
+        """The node of text that stands outside all block elements: a body of its own, made when first needed."""
+        if not self.outer:
+            self.outer = len(self.tag)
+            self.tag.append("body")
+            for x, y in ((self.parent, 0), (self.depth, 1), (self.groups, 0), (self.length, 0), (self.linked, 0), (self.stops, 0), (self.elements, 0), (self.y, 1)):
+                x.append(y)
+        return self.outer
+
     def _read(self, source: str, mark: str | None) -> None:
         stack, parts, linked, in_link, at = [0], [], 0, 0, 0
         tag, n = self.tag, len(source)
@@ -88,7 +98,7 @@ class Page:
                     text = html_lib.unescape(text)
                 text = " ".join(text.split())
                 if text:
-                    v = stack[-1]
+                    v = stack[-1] or self._outside()
                     self.runs.append((v, text))
                     self.length[v] += len(text)
                     self.linked[v] += min(linked, len(text))

@@ -161,6 +161,18 @@ def test_fingerprints(spark, docs, none):
     assert imatch.fingerprints(none).count() == 0
 
 
+def test_fingerprints_of_text_ids(spark):
+    """Ids that are text follow in the order of their text, over several ranges."""
+    own = [(f"x{chr(97 + i % 26)}{i:03d}", t) for i, t in enumerate(texts(60, 5))] + [(None, "no id"), ("é", "other")]
+    got = imatch.fingerprints(spark.createDataFrame(own, "doc_id string, text string").repartition(3), ranges=4).collect()
+    order = sorted(own, key=lambda r: (r[0] is not None, (r[0] or "").encode()), reverse=True)
+    want = set()
+    for i, (d, t) in enumerate(order):
+        k = len(t) // 3
+        want.add((d, hashlib.sha256((t[: len(t) - k] + order[(i + 1) % len(order)][1][:k]).encode()).hexdigest()))
+    assert {(r.doc_id, r.edited_sha256) for r in got} == want and len(got) == len(own)
+
+
 def test_lexicon_counts_terms_exactly(spark, docs, monkeypatch):
     """Terms of one document each stay outside the band, however many; a shuffled lexicon gives the same prints."""
     d = spark.createDataFrame([(i, " ".join(f"t{i}x{j}" for j in range(1000))) for i in range(40)], "id long, text string")
@@ -294,6 +306,13 @@ def test_extraction(spark):
     assert html_extract.extract(d.limit(0)).count() == 0
 
 
+def test_extraction_outside_blocks():
+    """A page without block elements is one block; markup, menus and references as elsewhere."""
+    text = "Just plain article text that goes on for a while, with a comma &amp; more, until it has said what it had to say. " * 4
+    got = html_extract.extract_texts(["\n ".join([text[:50] + "<b>" + text[50:60] + "</b>" + text[60:], "<nav><ul><li><a href=/>Home</a></li><li><a href=/b>Other</a></li></ul></nav>"])], html_extract.model())
+    assert got == [" ".join(text.replace("&amp;", "&").split())]
+
+
 def test_extraction_held_out():
     made = html_extract.synthetic_pages(150, 77)
     x, parent, begin = html_extract.features(made)
