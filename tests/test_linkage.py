@@ -1,6 +1,5 @@
 """Golden rows of the linkage operators, and their queries against the SQL twins."""
 
-import os
 
 import duckdb
 import pytest
@@ -138,9 +137,8 @@ def test_normalize_records_folds(spark):
     assert (b.name_missing, b.address_missing, b.city, b.name_tokens) == (True, True, None, [])
 
 
-@pytest.mark.skipif(not os.environ.get("RUN_SLOW"), reason="trains whole pipelines: some minutes; set RUN_SLOW=1")
-def test_pipeline_links_copies(spark):
-    """A small task: each entity's copy with a typo is found, others are not."""
+def test_pipeline_links_copies(spark, tmp_path):
+    """A small task: each entity's copy with a typo is found, others are not; a stored linker decides alike."""
     from linkwork.plans import pipeline
 
     words = "alpha bravo carmine delta echo foxglove gamma hollow indigo juniper kestrel lumen maple nectar onyx prism quartz raven sable tundra".split()
@@ -151,7 +149,9 @@ def test_pipeline_links_copies(spark):
     noise = [(f"S3-{i}", "S3", f"{words[(i * 5 + 1) % 20]} {words[(i * 11 + 6) % 20]} works", f"{i + 40} {words[i]} lane", "us", None, f"c{i % 2}") for i in range(20)]
     s23 = tables.coerce(spark.createDataFrame(twins + noise, f"record_id string, source string, {cols}"), tables.SOURCE23)
     labels = spark.createDataFrame([(f"S1-{r[0][3:]}", "S2", r[0], 1) for r in twins], "source1_entity_id string, candidate_source string, candidate_record_id string, label int")
-    linker = pipeline.fit(s1, s23, labels, Config(n_folds=2, entity_model_enabled=False, weight_range=(2.0, 2.0), calibration="none", pair_model="lr"), trees=5)
-    row = pipeline.evaluate(linker, s1, s23, labels).first()
+    linker = pipeline.fit(s1, s23, labels, Config(n_folds=2, entity_model_enabled=False, weight_range=(2.0, 2.0), calibration="platt"), trees=5)
+    linker.save(spark, str(tmp_path))
+    again = pipeline.Linker.load(spark, str(tmp_path))
+    row = pipeline.evaluate(again, s1, s23, labels).first()
     assert row.macro_f05 > 0.8
-    assert "threshold" in linker.frozen()
+    assert again.frozen() == linker.frozen() and again.pair.columns == linker.pair.columns
