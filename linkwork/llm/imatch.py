@@ -1,8 +1,12 @@
 """Document fingerprints after I-Match, with DataFrame functions only.
 
-Document frequencies are counted for each term by its 64-bit hash. Terms in the
-chosen band of inverse document frequency make the lexicon, which is broadcast up
-to a checked size and joined by a shuffle beyond. A text's distinct terms are
+Document frequencies are counted for each term by its 64-bit hash. The lexicon is
+the band of inverse document frequency, and it is applied by what lies outside:
+terms over the band are few (at most the mean number of a document's terms over
+MOST) and broadcast up to a checked size; a term of a single document travels to
+that document as one of its list of rare terms; terms that an edited text has and
+neither of its sources has (words cut at a seam) are looked up in the frequencies.
+So no shuffle carries the terms of the texts a second time. A text's distinct terms are
 sorted and those of the lexicon kept (of a text with at most 32 terms, all);
 several randomised subsets of the lexicon each give one hash of the set of kept
 terms that fall in them. How dense the subsets are goes by the number of the
@@ -29,10 +33,8 @@ from pyspark.sql import functions as F
 
 from .common import materialise, shared_dir, texts
 
-#: Rows of the lexicon that are broadcast, at most.
+#: Terms over the band that are broadcast, at most; beyond, they are joined by a shuffle.
 BROADCAST = 1 << 20
-#: Keys of the rows that stay without a term of the lexicon, so that a shuffle spreads them.
-MARKS = 256
 #: The band: at least this many documents, at most this share of them.
 LEAST, MOST = 2, 0.05
 #: Randomised subsets at each level.
@@ -42,31 +44,58 @@ _SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def _terms(text: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.split(F.lower(text), _SPLIT)))
+    """The hashes (long) of the sorted distinct terms."""
+    words = F.array_remove(F.array_sort(F.array_distinct(F.split(F.lower(text), _SPLIT))), "")
+    return F.transform(words, lambda t: F.xxhash64(t))
 
 
-def lexicon(docs: DataFrame, least: int = LEAST, most: float = MOST) -> DataFrame:
-    """The hashes (long) of the terms in the band, and the marks 0 to MARKS - 1; a written table. ``docs`` has text."""
-    n = docs.count()
-    terms = docs.select(F.explode(_terms(F.col("text"))).alias("t")).where("t <> ''").select(F.xxhash64("t").alias("h"))
-    band = terms.groupBy("h").count().where((F.col("count") >= least) & (F.col("count") <= max(least, most * n))).select(F.col("h").alias("slot"))
-    return materialise(band.unionByName(docs.sparkSession.range(MARKS).select(F.col("id").alias("slot"))))
+def frequencies(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """(h, n, ref): each term's hash and number of documents; of a term of fewer than ``least``, its document. A written table.
 
+    ``docs`` has text and ref, a long for each distinct row.
+    """
+    terms = docs.select("ref", F.explode(_terms(F.col("text"))).alias("h"))
+    count = terms.groupBy("h").agg(F.count("*").alias("n"), F.min("ref").alias("ref"))
+    return materialise(count.select("h", "n", F.when(F.col("n") < least, F.col("ref")).alias("ref")))
 
-def _subset_sums() -> list[Column]:
+
+def _mask(level: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), level) - 1
+
+
+def _in_subset(h: Column, k: int, mask: Column) -> Column:
+    return F.xxhash64(h, F.lit(k)).bitwiseAND(mask) == 0
+
+
+def _name(h: Column, k: int) -> Column:
+    return F.xxhash64(h, F.lit(k + 1000))
+
+
+def _sum_of(terms: Column, k: int, mask: Column) -> Column:
+    """The exclusive or of the names of the terms (an array) in a subset; 0 where there are none."""
+    zero = F.lit(0).cast("long")
+    return F.aggregate(terms, zero, lambda acc, h: acc.bitwiseXOR(F.when(_in_subset(h, k, mask), _name(h, k)).otherwise(zero)))
+
+
+def _slots() -> list[tuple[int, int]]:
+    return [(k, i) for k in range(SUBSETS) for i in (0, 1)]
+
+
+def _subset_sums() -> Column:
     """For each subset and level, the exclusive or of the hashes of the kept terms in it; null where there are none."""
-    out = []
-    for k in range(SUBSETS):
-        own, name = F.xxhash64("h", F.lit(k)), F.xxhash64("h", F.lit(k + 1000))
-        for i, mask in ((0, "coarse"), (1, "fine")):
-            out.append(F.bit_xor(F.when(F.col("h").isNotNull() & (own.bitwiseAND(F.col(mask)) == 0), name)).alias(f"x{k}_{i}"))
-    return out
+    h = F.col("h")
+    return F.array(*[F.bit_xor(F.when(h.isNotNull() & _in_subset(h, k, F.col(("coarse", "fine")[i])), _name(h, k))) for k, i in _slots()]).alias("sums")
 
 
-def _hashes() -> Column:
-    """Array of "level.subset.hash" of the subsets that have terms."""
-    part = lambda k, i: F.when(F.col(f"x{k}_{i}").isNotNull(), F.concat((F.col("level") + i).cast("string"), F.lit(f".{k}."), F.substring(F.lower(F.hex(f"x{k}_{i}")), -8, 8)))
-    return F.array_compact(F.array(*[part(k, i) for k in range(SUBSETS) for i in (0, 1)]))
+def _hashes(which: str, found: Column | None = None) -> Column:
+    """Array of "level.subset.hash" of the subsets that have terms; ``found`` are further terms to be taken in."""
+    out = []
+    for j, (k, i) in enumerate(_slots()):
+        x, level = F.coalesce(F.col(f"{which}.sums")[j], F.lit(0).cast("long")), F.col(f"{which}.level")
+        if found is not None:
+            x = x.bitwiseXOR(_sum_of(found, k, _mask(level + i)))
+        out.append(F.when(x != 0, F.concat((level + i).cast("string"), F.lit(f".{k}."), F.substring(F.lower(F.hex(x)), -8, 8))))
+    return F.array_compact(F.array(*out))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -88,11 +117,20 @@ def _place(key: DataFrame) -> Column:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", ranges: int | None = None, least: int = LEAST, most: float = MOST) -> DataFrame:
-    """Per document row: n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+    """Per document row: n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+
+    ``least`` is 1 or 2: more than one document's terms are no list of one document.
+    """
+    if least not in (1, 2):
+        raise ValueError(f"least must be 1 or 2: {least}")
     spark = docs.sparkSession
     shared_dir(spark)
     key = texts(docs, id_col).select("id", F.coalesce("text", F.lit("")).alias("text"))
-    band = lexicon(key, least, most)
+    key = key.select("*", F.xxhash64("text").alias("hash"), F.xxhash64("id", "text").alias("ref"))
+    count = frequencies(key, least)
+    over = F.col("n") > max(least, most * key.count())
+    hot = count.where(over).select(F.col("h").alias("slot"))
+    rare = count.where("ref is not null").groupBy("ref").agg(F.collect_list("h").alias("rare"))
     ranges = ranges or min(256, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     place = _place(key)
     cut = key.select(F.percentile_approx(place, [i / ranges for i in range(1, ranges)], 10_000).alias("q")).first().q or []
@@ -107,40 +145,48 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", ranges: int | None = N
         cond = (F.col("part") == p) & F.col("id").eqNullSafe(F.lit(x))
         ghost = F.when(cond, F.lit(first[i - 1][0])) if ghost is None else ghost.when(cond, F.lit(first[i - 1][0]))
     places = F.array(F.struct(F.col("part").alias("p"), F.lit(0).alias("ghost")), F.struct(ghost.alias("p"), F.lit(1).alias("ghost"))) if ghost is not None else F.array(F.struct(F.col("part").alias("p"), F.lit(0).alias("ghost")))
-    rows = key.select("id", "text", F.explode(F.filter(places, lambda x: x.p.isNotNull())).alias("at")).select("id", "text", F.col("at.p").alias("part"), F.col("at.ghost").alias("ghost"))
-    order = Window.partitionBy("part").orderBy("ghost", F.col("id").desc_nulls_last(), F.xxhash64("text"), "text")
-    n = F.length("text")
-    rows = rows.select("*", F.row_number().over(order).alias("row"), F.lead("text").over(order).alias("next"))
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - F.floor(n / 3).cast("int")), F.substring(F.coalesce("next", F.lit("")), F.lit(1), F.floor(n / 3).cast("int")))
-    rows = rows.select("part", "row", "ghost", "id", "text", n.alias("n"), edited.alias("edited"))
-    rows = rows.select("*", F.sha2("edited", 256).alias("sha"))
-    # two texts a row; the first term of each is a mark, so that texts without lexicon terms stay
-    rows = rows.select("part", "row", "ghost", "id", "n", F.unhex("sha").alias("sha"), F.posexplode(F.array("text", "edited")).alias("which", "own"))
-    rows = rows.where("which = 0 or ghost = 0").select("*", _terms(F.col("own")).alias("terms"))
-    level = F.floor(F.log2(F.greatest(F.size("terms"), F.lit(1)))).cast("int")
-    key_cols = ["part", "row", "which", "ghost", "id", "n", "sha", "level", "few"]
-    rows = rows.select("part", "row", "which", "ghost", "id", "n", "sha", level.alias("level"), (F.size("terms") <= 32).alias("few"), F.posexplode(F.concat(F.array(F.lit("")), "terms")).alias("pos", "t"))
-    power = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), c) - 1
-    rows = rows.where("pos = 0 or t <> ''").select(
-        *key_cols,
-        power(F.col("level")).alias("coarse"),
-        power(F.col("level") + 1).alias("fine"),
-        F.when(F.col("pos") > 0, F.xxhash64("t")).alias("h"),
-        F.when((F.col("pos") == 0) | F.col("few"), F.pmod(F.xxhash64("part", "row", "pos"), F.lit(MARKS))).otherwise(F.xxhash64("t")).alias("slot"),
-    )
-    kept = rows.join(F.broadcast(band) if band.count() <= BROADCAST else band.hint("merge"), "slot", "left_semi").groupBy(*key_cols).agg(*_subset_sums())
-    kept = kept.select("part", "row", "which", "ghost", "id", "n", F.lower(F.hex("sha")).alias("sha"), _hashes().alias("fp"))
-    pair = kept.groupBy("part", "row").agg(
-        F.first(F.when(F.col("which") == 0, F.struct("ghost", "id", "n", "sha")), ignorenulls=True).alias("meta"),
-        F.first(F.when(F.col("which") == 0, F.col("fp")), ignorenulls=True).alias("fp"),
-        F.first(F.when(F.col("which") == 1, F.col("fp")), ignorenulls=True).alias("edited_fp"),
-    )
+    # the list of a document's rare terms stands right before it, in every range that has the document
+    lists = key.select("ref", "id", "hash", "part").join(rare, "ref")
+    rows = key.select("id", "hash", "part", "text", F.lit(None).cast("array<bigint>").alias("rare"))
+    rows = rows.unionByName(lists.select("id", "hash", "part", F.lit(None).cast("string").alias("text"), "rare"))
+    rows = rows.select("id", "hash", "text", "rare", F.explode(F.filter(places, lambda x: x.p.isNotNull())).alias("at")).select("id", "hash", "text", "rare", F.col("at.p").alias("part"), F.col("at.ghost").alias("ghost"))
+    order = Window.partitionBy("part").orderBy("ghost", F.col("id").desc_nulls_last(), "hash", F.col("text").asc_nulls_first())
+    none = F.array().cast("array<bigint>")
+    rows = rows.select(
+        "*",
+        F.row_number().over(order).alias("row"),
+        F.coalesce(F.lead("text").over(order), F.lead("text", 2).over(order), F.lit("")).alias("next"),
+        F.coalesce(F.lag("rare").over(order), none).alias("own_rare"),
+        F.coalesce(F.lead("rare").over(order), none).alias("next_rare"),
+    ).where("text is not null")
+    n, k = F.length("text"), F.floor(F.length("text") / 3).cast("int")
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - k), F.substring(F.col("next"), F.lit(1), k))
+    rows = rows.select("part", "row", "ghost", "id", n.alias("n"), "text", "next", edited.alias("edited"), "own_rare", "next_rare")
+    rows = rows.select("part", "row", "ghost", "id", "n", F.unhex(F.sha2("edited", 256)).alias("sha"), _terms(F.col("text")).alias("own"), _terms(F.col("next")).alias("after"), _terms(F.col("edited")).alias("new"), "own_rare", "next_rare")
+    seam = F.array_except("new", F.concat("own", "after"))
+    one = lambda which, all_, drop, cut: F.struct(F.lit(which).alias("which"), F.col(all_).alias("all"), drop.alias("drop"), cut.alias("cut"))
+    two = F.array(one(0, "own", F.col("own_rare"), none), one(1, "new", F.concat("own_rare", "next_rare"), seam))
+    rows = rows.select("part", "row", "ghost", "id", "n", "sha", F.explode(two).alias("x")).where("x.which = 0 or ghost = 0")
+    few = F.size("x.all") <= 32
+    level = F.floor(F.log2(F.greatest(F.size("x.all"), F.lit(1)))).cast("int")
+    rows = rows.select("part", "row", F.col("x.which").alias("which"), "ghost", "id", "n", "sha", level.alias("level"), few.alias("few"), F.when(few, none).otherwise(F.col("x.cut")).alias("cut"), F.when(few, F.col("x.all")).otherwise(F.array_except("x.all", F.concat("x.drop", "x.cut"))).alias("kept"))
+    key_cols = ["part", "row", "which", "ghost", "id", "n", "sha", "level", "cut"]
+    # the first row of each text is a mark without a term, so that texts without lexicon terms stay
+    rows = rows.select(*key_cols, "few", _mask(F.col("level")).alias("coarse"), _mask(F.col("level") + 1).alias("fine"), F.explode(F.concat(F.array(F.lit(None).cast("long")), "kept")).alias("h"))
+    rows = rows.withColumn("slot", F.when(~F.col("few"), F.col("h")))
+    sums = materialise(rows.join(F.broadcast(hot) if hot.count() <= BROADCAST else hot.hint("merge"), "slot", "left_anti").groupBy(*key_cols).agg(_subset_sums()))
+    band = count.where(F.col("ref").isNull() & ~over).select("h")
+    found = sums.select("part", "row", F.explode("cut").alias("h")).join(band, "h").groupBy("part", "row").agg(F.collect_list("h").alias("found"))
+    both = sums.select("part", "row", F.when(F.col("which") == 0, F.struct("ghost", "id", "n")).alias("meta"), F.when(F.col("which") == 0, F.struct("sums", "level")).alias("own"), F.when(F.col("which") == 1, F.struct("sums", "level", "sha")).alias("new"))
+    both = both.unionByName(found, allowMissingColumns=True).repartition("part")
+    pair = both.groupBy("part", "row").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("meta", "own", "new", "found")])
+    pair = pair.select("part", "row", "meta", F.lower(F.hex("new.sha")).alias("sha"), _hashes("own").alias("fp"), _hashes("new", F.coalesce("found", none)).alias("edited_fp"))
     pair = pair.withColumn("next_fp", F.lead("fp").over(Window.partitionBy("part").orderBy("row"))).where("meta.ghost = 0")
     text_of = lambda fp: F.when(F.size(fp) > 0, F.array_join(fp, ",")).otherwise(F.lit("0"))
     return pair.select(
         F.col("meta.id").alias(id_col),
         F.col("meta.n").cast("long").alias("n_chars"),
-        F.col("meta.sha").alias("edited_sha256"),
+        F.col("sha").alias("edited_sha256"),
         text_of(F.col("fp")).alias("fingerprint"),
         text_of(F.col("edited_fp")).alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import struct
 import uuid
 import zlib
 from collections import Counter, defaultdict
@@ -12,6 +13,8 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from linkwork.llm import decontam, html_extract, imatch, lm_score, mix, ngram_join, quality, shard, token_count, toxicity
 from linkwork.llm.common import ALNUM_RE, SPACE_RE, ascii_lower, word_counts
@@ -176,7 +179,7 @@ def test_fingerprints_of_text_ids(spark):
 def test_lexicon_counts_terms_exactly(spark, docs, monkeypatch):
     """Terms of one document each stay outside the band, however many; a shuffled lexicon gives the same prints."""
     d = spark.createDataFrame([(i, " ".join(f"t{i}x{j}" for j in range(1000))) for i in range(40)], "id long, text string")
-    assert imatch.lexicon(d).count() <= 256
+    assert imatch.frequencies(d.selectExpr("text", "id AS ref")).agg(F.max("n"), F.count("*"), F.count("ref")).first() == (1, 40_000, 40_000)
     got = []
     for bound in (1 << 20, 0):
         monkeypatch.setattr(imatch, "BROADCAST", bound)
@@ -184,6 +187,49 @@ def test_lexicon_counts_terms_exactly(spark, docs, monkeypatch):
     assert got[0] == got[1]
 
 
+def test_fingerprints_match_brute_force(spark):
+    """Fingerprints and likenesses by the definition: exact frequencies, subsets by hash, words cut at the seams included."""
+    xx = lambda b, seed=42: xxhash.xxh64_intdigest(b, seed=seed)
+    r = random.Random(4)
+    common, some = [f"w{i}" for i in range(30)], [f"m{i:04d}" for i in range(1000)] + [f"m{i:03d}" for i in range(100)]
+    own = [" ".join([*r.choices(common, k=20), *r.choices(some, k=r.randint(5, 90)), *(f"u{i}x{j}" for j in range(r.randint(0, 9)))]) for i in range(80)]
+    own = [" ".join(r.sample(t.split(), len(t.split()))) for t in own] + [own[0], own[1], "", "x"]
+    terms = lambda t: set(re.findall(r"[0-9a-z]+", t))
+    df = Counter(w for t in own for w in terms(t))
+    band = {w for w, c in df.items() if 2 <= c <= max(2, 0.05 * len(own))}
+
+    def prints(t):
+        every = terms(t)
+        level, out = max(len(every), 1).bit_length() - 1, {}
+        for w in every if len(every) <= 32 else every & band:
+            h = xx(w.encode())
+            sub = lambda k, h=h: xx(struct.pack("<i", k), xx(struct.pack("<Q", h)))
+            for k in range(imatch.SUBSETS):
+                for i in (0, 1):
+                    if sub(k) & ((1 << (level + i)) - 1) == 0:
+                        out[level + i, k] = out.get((level + i, k), 0) ^ sub(k + 1000)
+        return {s: f"{x & 0xFFFFFFFF:08x}" for s, x in out.items()}
+
+    def near(a, b):
+        if not a and not b:
+            return 1.0
+        levels = {s[0] for s in a} & {s[0] for s in b}
+        slots = {s for s in a | b if s[0] in levels}
+        return sum(a.get(s) == b.get(s) for s in slots) / len(slots) if slots else 0.0
+
+    text = lambda p: ",".join(f"{lv}.{k}.{p[lv, k]}" for lv, k in sorted(p, key=lambda s: (s[1], s[0]))) or "0"
+    got = {x.doc_id: x for x in imatch.fingerprints(spark.createDataFrame(list(enumerate(own)), "doc_id long, text string").repartition(3), ranges=4).collect()}
+    seams = 0
+    for i, t in enumerate(own):
+        nxt = own[i - 1]
+        new = t[: len(t) - len(t) // 3] + nxt[: len(t) // 3]
+        seams += len((terms(new) - terms(t) - terms(nxt)) & band) if len(terms(new)) > 32 else 0
+        a, b, c = prints(t), prints(new), prints(nxt)
+        assert (got[i].fingerprint, got[i].edited_fingerprint) == (text(a), text(b))
+        assert abs(got[i].near_edited - near(a, b)) < 1e-9 and abs(got[i].near_next - near(a, c)) < 1e-9
+    assert seams
+
+
 # 6
 def test_join_matches_brute_force(spark, none):
     r = random.Random(8)
