@@ -120,8 +120,25 @@ def get_backend(name: str):
     return kinds[name]()
 
 
+#: Query vectors that are broadcast at once.
+QUERY_BLOCK = 1 << 14
+
+
 def dense_topk(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
-    """(qid, rid, score): exact cosine of bounded query vectors against all; partial top-k in each task."""
+    """(qid, rid, score): exact cosine of query vectors against all, in blocks of about QUERY_BLOCK queries by a hash of their id; each block's result is a table where there are several."""
+    blocks = -(-queries.count() // QUERY_BLOCK)
+    if blocks <= 1:
+        return _block_topk(queries, index, k)
+    from ..sources.tables import cut
+
+    out = None
+    for i in range(blocks):
+        part = cut(_block_topk(queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == i), index, k))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _block_topk(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
     from ..functions.similarity import cosine
 
     both = index.select(F.col("id").alias("rid"), F.col("vector").alias("v")).crossJoin(F.broadcast(queries.select(F.col("id").alias("qid"), F.col("vector").alias("q"))))

@@ -1,6 +1,5 @@
 """Golden rows of the linkage operators, and their queries against the SQL twins."""
 
-
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -137,6 +136,14 @@ def test_normalize_records_folds(spark):
     assert (b.name_missing, b.address_missing, b.city, b.name_tokens) == (True, True, None, [])
 
 
+def test_dense_topk_in_blocks(spark, monkeypatch):
+    d = spark.createDataFrame([(i, [float(i % 7), float(i % 3), 1.0]) for i in range(40)], "id long, vector array<double>")
+    q = d.where("id % 3 = 0")
+    whole = sorted(map(tuple, tfidf.dense_topk(q, d, 4).collect()))
+    monkeypatch.setattr(tfidf, "QUERY_BLOCK", 5)
+    assert len(whole) == 56 and sorted(map(tuple, tfidf.dense_topk(q, d, 4).collect())) == whole
+
+
 def test_pipeline_links_copies(spark, tmp_path):
     """A small task: each entity's copy with a typo is found, others are not; a stored linker decides alike."""
     from linkwork.plans import pipeline
