@@ -12,18 +12,21 @@ bytes: the two, three, four and six bytes before.
 
 The predictions are mixed in the logistic domain by weights that a gate picks
 (how much the context is known, and the depth in the tree). The weights start
-from the mean of runs over groups of training texts, which together are all of
-them and whose own counts are left out of the predictions. Those of words are
-refined online along each text, by the gradient of the coding cost, after every
-64 words; those of letters are not, so that a word costs the same everywhere. A text's score is the sum of
+from a Newton step on the coding cost of all training texts' words, and of the
+letters of all distinct rare words, each bit's own count left out of its
+predictions. The step's sums are added over tasks, so they do not depend on the
+partitions. Weights of words are refined online along each text, by the gradient
+of the coding cost, after every 64 words; those of letters are not, so that a
+word costs the same everywhere. A text's score is the sum of
 log10 of its bits' probabilities: a proper distribution over texts of words.
 ``bits_per_byte`` is the total cost over the text's bytes.
 
 Letters are counted in each distinct rare word of the training texts once, however
 these are partitioned. Counts of words cover all training texts and are summed by
 shuffling words; the 2**18 commonest are broadcast, those of other words come
-by a join. Tables of bit counts have a fixed size; each task sums its texts'
-and they are added by blocks. What executors get is bounded.
+by a join. Tables of bit counts grow with the training tokens from 2**20 to
+2**22 slots a word context (see ``table_bits``); each task sums its texts' and
+they are added by blocks. What executors get is bounded.
 
 Defined results: a null text is empty, which has its end alone; a null id counts
 as the empty id when texts are held out; without training texts the base is
@@ -47,10 +50,8 @@ from pyspark.sql import functions as F
 from .common import BATCH_BYTES, as_array, crc_mod, encode, materialise, prepare, segment_sums, space_words, texts, word_bytes, word_hashes
 
 VOCAB, KNOWN = 1 << 15, 1 << 18
-#: Training texts of a group, on average; each group finds first weights, which are averaged.
-TUNE = 1500
-#: Bits of the slots of each predictor's table.
-WORD_BITS, BYTE_BITS = (16, 20, 20, 18), (18, 19, 20, 20)
+#: Bits of the slots of each predictor's table; those of the two word contexts (None) grow with the training tokens.
+WORD_BITS, BYTE_BITS, LEAST_BITS, MOST_BITS = (16, None, None, 18), (18, 19, 20, 20), 20, 22
 STEP = 64
 #: Spelled words that a worker remembers (and about as many more).
 SPELLED = 400_000
@@ -200,25 +201,57 @@ class Batch:
         return out
 
 
+def table_bits(tokens: int) -> tuple[int, ...]:
+    """Bits of all predictors' slots: word contexts get a slot for each 8 to 16 training tokens, between the bounds."""
+    grown = min(max(tokens.bit_length() - 3, LEAST_BITS), MOST_BITS)
+    return (*(b or grown for b in WORD_BITS), *BYTE_BITS)
+
+
 def stretch(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     return np.clip(np.log((n1 + 0.4) / (n0 + 0.4)), -8, 8).astype(np.float32)
 
 
 class Tables:
-    """Counts of zeros and ones in the slots of all predictors, or their logits for scoring."""
+    """Counts of zeros and ones in the slots of all predictors, and the logits made of them."""
 
-    sizes = [1 << b for b in (*WORD_BITS, *BYTE_BITS)]
-    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    def __init__(self, bits: tuple[int, ...], counts: np.ndarray):
+        self.bits, self.counts, self.left = bits, counts, None
+        self.sizes = [1 << b for b in bits]
+        self.offsets = np.concatenate([[0], np.cumsum(self.sizes)])
 
-    def __init__(self, counts: np.ndarray):
-        self.counts = counts.reshape(-1, 2)
+    def _pieces(self):
+        """The counts in parts of a bounded size: bounds what is held in floats at once."""
+        for i in range(0, len(self.counts) // 2, BLOCK):
+            yield slice(i, i + BLOCK), self.counts[2 * i : 2 * (i + BLOCK)].reshape(-1, 2).astype(np.float64)
 
     def frozen(self) -> Tables:
-        c = self.counts.astype(np.float64)
-        self.logit = stretch(c[:, 0], c[:, 1])
-        self.sure = np.minimum(np.log2(c.sum(1) + 1) / 2, 5).astype(np.uint8)
-        self.counts = None
-        return self
+        """Logits and sureness of each slot, for scoring."""
+        n = len(self.counts) // 2
+        out = Tables(self.bits, None)
+        out.logit, out.sure = np.empty(n, np.float32), np.empty(n, np.uint8)
+        for at, c in self._pieces():
+            out.logit[at] = stretch(c[:, 0], c[:, 1])
+            out.sure[at] = sureness(c.sum(1))
+        return out
+
+    def left_out(self) -> Tables:
+        """The same with one bit less: logits by slot and by the bit that is left out. Made once a worker, in place of the counts."""
+        if self.left is not None:
+            return self.left
+        n = len(self.counts) // 2
+        out = Tables(self.bits, None)
+        out.logit, out.sure = np.empty((n, 2), np.float32), np.empty(n, np.uint8)
+        for at, c in self._pieces():
+            less = np.maximum(c - 1, 0)
+            out.logit[at, 0], out.logit[at, 1] = stretch(less[:, 0], c[:, 1]), stretch(c[:, 0], less[:, 1])
+            out.sure[at] = sureness(np.maximum(c.sum(1) - 1, 0))
+        out.logit = out.logit.reshape(-1)
+        self.left, self.counts = out, None
+        return out
+
+
+def sureness(n: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(n + 1) / 2, 5).astype(np.uint8)
 
 
 #: Gates: how sure the leading context is (6), by depth or place (4).
@@ -226,69 +259,65 @@ GATES, LEAD = 24, (1, 2)
 
 
 class Mixer:
-    """Predicts bits from slots by gated weights and learns from them."""
+    """Predicts bits from slots by gated weights (a column each) and learns from them."""
 
-    def __init__(self, tables: Tables, letters: bool, leave_out: bool = False):
-        self.t, self.part, self.leave_out = tables, 4 * letters, leave_out
-        self.bits = BYTE_BITS if letters else WORD_BITS
+    def __init__(self, tables: Tables, letters: bool):
+        self.t, self.part = tables, 4 * letters
 
     def slots(self, contexts: list[np.ndarray], owner: np.ndarray, node: np.ndarray) -> list[np.ndarray]:
-        return [slot(c[owner], node, k, b).astype(np.int64) + self.t.offsets[self.part + k] for k, (c, b) in enumerate(zip(contexts, self.bits, strict=True))]
-
-    def inputs(self, slots: list[np.ndarray], bit: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Logits of the predictors (and a constant), and the gate, of each bit."""
-        x = np.empty((len(bit), 5), np.float32)
-        x[:, 4] = 0.3
-        lead = slots[LEAD[self.part > 0]]
-        if self.leave_out:
-            for k, s in enumerate(slots):
-                c = self.t.counts[s].astype(np.float64)
-                c[np.arange(len(s)), bit] = np.maximum(c[np.arange(len(s)), bit] - 1, 0)
-                x[:, k] = stretch(c[:, 0], c[:, 1])
-                if s is lead:
-                    sure = np.minimum(np.log2(c.sum(1) + 1) / 2, 5).astype(np.int64)
-        else:
-            for k, s in enumerate(slots):
-                x[:, k] = self.t.logit[s]
-            sure = self.t.sure[lead].astype(np.int64)
-        return x, sure * 4 + level
+        return [self.slots_of(k, c[owner], node) for k, c in enumerate(contexts)]
+
+    def slots_of(self, k: int, context: np.ndarray, node: np.ndarray) -> np.ndarray:
+        return slot(context, node, k, self.t.bits[self.part + k]).astype(np.int64) + self.t.offsets[self.part + k]
+
+    def inputs(self, slots: list[np.ndarray], level: np.ndarray, left_out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Logits of the predictors (and a constant), a row each, and the gate of each bit; bits to leave out need the tables for it."""
+        x = np.empty((5, len(level)), np.float32)
+        x[4] = 0.3
+        for k, s in enumerate(slots):
+            np.take(self.t.logit, s if left_out is None else 2 * s + left_out, out=x[k], mode="clip")
+        return x, self.t.sure[slots[LEAD[self.part > 0]]].astype(np.int64) * 4 + level
 
     @staticmethod
     def predict(x: np.ndarray, w: np.ndarray, row: np.ndarray, bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Cost in bits' natural logs, and the error of the prediction, with weights w[row]."""
-        z = np.einsum("ij,ij->i", x, w[row])
+        """Cost in bits' natural logs, and the error of the prediction, with weights w[:, row]."""
+        z = x[0] * w[0][row]
+        for k in range(1, len(x)):
+            z += x[k] * w[k][row]
         np.clip(z, -12, 12, out=z)
+        z *= 1 - 2 * bit.astype(np.float32)  # for the bit that came: the lower, the likelier
         e = np.exp(-np.abs(z))
-        p = np.where(z >= 0, 1 / (1 + e), e / (1 + e)).astype(np.float32)
-        cost = np.log(1 + e) + np.maximum(np.where(bit == 1, -z, z), 0)
-        return cost, bit - p
+        wrong = np.where(z >= 0, 1, e) / (1 + e)
+        return np.log1p(e) + np.maximum(z, 0), np.where(bit == 1, wrong, -wrong)
 
     @staticmethod
     def learn(w: np.ndarray, x: np.ndarray, row: np.ndarray, error: np.ndarray, rate: float) -> None:
-        for k in range(x.shape[1]):
-            w[:, k] += rate * np.bincount(row, error * x[:, k], len(w)).astype(np.float32)
+        for k in range(len(x)):
+            w[k] += rate * np.bincount(row, error * x[k], w.shape[1]).astype(np.float32)
 
 
 def _level(depth: np.ndarray) -> np.ndarray:
     return np.minimum(depth // 3, 3)
 
 
-def count_words(batch: Batch, code: Code, add) -> None:
-    """Adds the bits of the batch's words to the slots: ``add(predictor, slots * 2 + bit)``."""
-    none, size = Tables(np.zeros(0, np.int64)), 1 << 15
-    for i in range(0, len(batch.ids), size):
-        owner, _, node, bit = code.words.expand(batch.ids[i : i + size])
-        for k, s in enumerate(Mixer(none, False).slots([c[i : i + size] for c in batch.contexts], owner, node)):
-            add(k, s * 2 + bit)
+def count_words(batch: Batch, code: Code, tables: Tables) -> None:
+    """Adds the bits of the batch's words to the counts; a word that recurs in a context is looked up once."""
+    mixer, size, symbols = Mixer(tables, False), 1 << 15, len(code.words.length)
+    for k, context in enumerate(batch.contexts):
+        pair, times = np.unique(context.astype(np.int64) * symbols + batch.ids, return_counts=True)
+        for i in range(0, len(pair), size):
+            owner, _, node, bit = code.words.expand(pair[i : i + size] % symbols)
+            s = mixer.slots_of(k, (pair[i : i + size] // symbols).astype(np.uint32)[owner], node)
+            np.add.at(tables.counts, 2 * s + bit, times[i : i + size].astype(np.int32)[owner])
 
 
-def count_letters(batch: Batch, code: Code, add) -> None:
-    """Adds the bits of the batch's distinct rare words to the slots."""
-    none, size = Tables(np.zeros(0, np.int64)), 1 << 15
-    for a, b in _spell_chunks(batch, size):
+def count_letters(batch: Batch, code: Code, tables: Tables) -> None:
+    """Adds the bits of the batch's distinct rare words to the counts."""
+    mixer = Mixer(tables, True)
+    for a, b in _spell_chunks(batch):
         owner, _, node, bit = code.letters.expand(batch.letters[a:b])
-        for k, s in enumerate(Mixer(none, True).slots(batch.spell_contexts(a, b), owner, node)):
-            add(4 + k, s * 2 + bit)
+        for s in mixer.slots(batch.spell_contexts(a, b), owner, node):
+            np.add.at(tables.counts, 2 * s + bit, np.int32(1))
 
 
 def _spell_chunks(batch: Batch, size: int = 1 << 15):
@@ -301,34 +330,46 @@ def _spell_chunks(batch: Batch, size: int = 1 << 15):
 
 
 def first_weights() -> np.ndarray:
-    return np.full((GATES, 5), 0.3, np.float32)
-
-
-def tune(text: pa.Array, code: Code, tables: Tables, first_rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of words and of letters after a run over training texts, whose own counts are left out."""
-    words, letters = first_weights(), first_weights()
-    for i in range(0, len(text), 50):
-        batch = Batch(text[i : i + 50], code)
-        rate = first_rate / (1 + i / 200)
-        for a in range(0, len(batch.ids), 4096):
-            owner, depth, node, bit = code.words.expand(batch.ids[a : a + 4096])
-            m = Mixer(tables, False, True)
-            x, gate = m.inputs(m.slots([c[a : a + 4096] for c in batch.contexts], owner, node), bit, _level(depth))
-            _step(words, x, gate, bit, rate)
-        for a, b in _spell_chunks(batch, 4096):
-            owner, depth, node, bit = code.letters.expand(batch.letters[a:b])
-            m = Mixer(tables, True, True)
-            x, gate = m.inputs(m.slots(batch.spell_contexts(a, b), owner, node), bit, np.minimum(batch.spell_place[a:b], 3)[owner])
-            _step(letters, x, gate, bit, rate)
-    return words, letters
-
-
-def _step(w: np.ndarray, x: np.ndarray, gate: np.ndarray, bit: np.ndarray, rate: float) -> None:
-    """A step by the mean gradient of each gate, longer where it has many bits."""
-    _, error = Mixer.predict(x, w, gate, bit)
-    n = np.bincount(gate, minlength=GATES)
-    g = np.stack([np.bincount(gate, error * x[:, k], GATES) for k in range(x.shape[1])], 1)
-    w += (rate * g / np.sqrt(np.maximum(n, 1))[:, None]).astype(np.float32)
+    return np.full((5, GATES), 0.3, np.float32)
+
+
+def word_sums(batch: Batch, code: Code, tables: Tables) -> np.ndarray:
+    """``newton_sums`` of the batch's words."""
+    mixer, total = Mixer(tables, False), np.zeros((GATES, 5, 6))
+    for a in range(0, len(batch.ids), 1 << 14):
+        owner, depth, node, bit = code.words.expand(batch.ids[a : a + (1 << 14)])
+        x, gate = mixer.inputs(mixer.slots([c[a : a + (1 << 14)] for c in batch.contexts], owner, node), _level(depth), bit)
+        newton_sums(total, x, gate, bit)
+    return total
+
+
+def letter_sums(batch: Batch, code: Code, tables: Tables) -> np.ndarray:
+    """``newton_sums`` of the letters of the batch's distinct rare words."""
+    mixer, total = Mixer(tables, True), np.zeros((GATES, 5, 6))
+    for a, b in _spell_chunks(batch):
+        owner, _, node, bit = code.letters.expand(batch.letters[a:b])
+        x, gate = mixer.inputs(mixer.slots(batch.spell_contexts(a, b), owner, node), np.minimum(batch.spell_place[a:b], 3)[owner], bit)
+        newton_sums(total, x, gate, bit)
+    return total
+
+
+def newton_sums(total: np.ndarray, x: np.ndarray, gate: np.ndarray, bit: np.ndarray) -> None:
+    """Adds each gate's second derivatives (5 by 5) and gradient (the last column) of the bits' cost at the first weights."""
+    z = np.clip(0.3 * x.sum(0), -12, 12)
+    p = 1 / (1 + np.exp(-z))
+    order = np.argsort(gate.astype(np.uint8), kind="stable")
+    x, error, curve = x[:, order], (bit - p)[order], (p * (1 - p))[order]
+    edge = np.concatenate([[0], np.cumsum(np.bincount(gate, minlength=GATES))])
+    for g in np.flatnonzero(np.diff(edge)):
+        own = x[:, edge[g] : edge[g + 1]].astype(np.float64)  # so that the order of the texts does not show in the weights
+        total[g, :, :5] += (own * curve[edge[g] : edge[g + 1]]) @ own.T
+        total[g, :, 5] += own @ error[edge[g] : edge[g + 1]]
+
+
+def newton(total: np.ndarray) -> np.ndarray:
+    """The weights after a step from the first ones, which a gate of few bits hardly leaves."""
+    step = np.linalg.solve(total[:, :, :5] + 10 * np.eye(5), total[:, :, 5:])[:, :, 0]
+    return (first_weights() + step.T).astype(np.float32)
 
 
 @dataclass
@@ -360,7 +401,7 @@ class Model:
         m = Mixer(self.tables, True)
         for a, b in _spell_chunks(batch):
             owner, _, node, bit = self.code.letters.expand(batch.letters[a:b])
-            x, gate = m.inputs(m.slots(batch.spell_contexts(a, b), owner, node), bit, np.minimum(batch.spell_place[a:b], 3)[owner])
+            x, gate = m.inputs(m.slots(batch.spell_contexts(a, b), owner, node), np.minimum(batch.spell_place[a:b], 3)[owner])
             cost, _ = m.predict(x, self.letters, gate, bit)
             word = batch.spell_word[a:b][owner] - batch.spell_word[a]
             out.append(np.bincount(word, cost, int(batch.spell_word[b - 1] - batch.spell_word[a]) + 1))
@@ -377,21 +418,23 @@ class Model:
         block = batch.place // STEP
         order = np.argsort(block, kind="stable")
         edge = np.searchsorted(block[order], np.arange(int(block.max(initial=-1)) + 2))
-        weights = np.tile(self.words, (n_docs, 1))  # row: text * GATES + gate
+        weights = np.tile(self.words, (1, n_docs))  # column: text * GATES + gate
         m = Mixer(self.tables, False)
         for a, z in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-            for i in range(a, z, 1 << 14):
-                # parts of a block are cut between texts, so that a text learns after its block
-                at = order[i : min(i + (1 << 14), z)]
+            docs = batch.doc[order[a:z]]
+            while a < z:
+                # parts of a block end between texts, so that a text learns once, after its block, whatever its neighbours
+                end = z if z - a <= 1 << 14 else a + int(np.searchsorted(docs, docs[1 << 14], "left"))
+                at, doc = order[a:end], docs[: end - a]
                 owner, depth, node, bit = self.code.words.expand(batch.ids[at])
-                x, gate = m.inputs(m.slots([c[at] for c in batch.contexts], owner, node), bit, _level(depth))
-                doc = batch.doc[at]
+                x, gate = m.inputs(m.slots([c[at] for c in batch.contexts], owner, node), _level(depth))
                 low, high = int(doc[0]), int(doc[-1]) + 1
                 row = (doc - low)[owner] * GATES + gate
-                own = weights[low * GATES : high * GATES]
+                own = weights[:, low * GATES : high * GATES]
                 cost, error = m.predict(x, own, row, bit)
                 total[low:high] += np.bincount((doc - low)[owner], cost, high - low)
                 m.learn(own, x, row, error, self.rate)
+                docs, a = docs[end - a :], end
         return total
 
 
@@ -443,35 +486,20 @@ def byte_totals(rare: DataFrame) -> np.ndarray:
     return out
 
 
-def bit_totals(key: DataFrame, rare: DataFrame, code: Code) -> np.ndarray:
+def bit_totals(key: DataFrame, rare: DataFrame, code: Code, bits: tuple[int, ...]) -> np.ndarray:
     """Counts of all slots, of the texts' words and the distinct rare words' letters, summed over tasks block by block."""
     shared = key.sparkSession.sparkContext.broadcast(code)
-    size = 2 * int(Tables.offsets[-1])
+    size = 2 * sum(1 << b for b in bits)
 
     def run(batches, count):
-        total = np.zeros(size, np.int32)
-        todo: list[list[np.ndarray]] = [[] for _ in Tables.sizes]
-
-        def fold(k: int) -> None:
-            if todo[k]:
-                at = 2 * int(Tables.offsets[k])
-                total[at : at + 2 * Tables.sizes[k]] += np.bincount(np.concatenate(todo[k]), minlength=2 * Tables.sizes[k]).astype(np.int32)
-            todo[k] = []
-
-        def add(k: int, x: np.ndarray) -> None:
-            todo[k].append((x - 2 * Tables.offsets[k]).astype(np.int32))
-            if sum(map(len, todo[k])) > 1 << 20:
-                fold(k)
-
+        tables = Tables(bits, np.zeros(size, np.int32))
         for b in batches:
             for part in slices(b.column("text")):
-                count(Batch(part, shared.value), shared.value, add)
-        for k in range(len(todo)):
-            fold(k)
+                count(Batch(part, shared.value), shared.value, tables)
         for i in range(0, size, BLOCK):
-            own = total[i : i + BLOCK]
+            own = tables.counts[i : i + BLOCK]
             if own.any():
-                yield pa.RecordBatch.from_arrays([pa.array([i // BLOCK]), pa.array([pa.compress(own.tobytes(), "zstd", asbytes=True)], pa.binary())], ["block", "data"])
+                yield row(i // BLOCK, own)
 
     def merge(batches):
         held, total = None, None
@@ -491,12 +519,29 @@ def bit_totals(key: DataFrame, rare: DataFrame, code: Code) -> np.ndarray:
     blocks = [d.select("text").mapInArrow(partial(run, count=count), "block long, data binary") for d, count in ((key, count_words), (rare, count_letters))]
     summed = blocks[0].unionByName(blocks[1]).repartition(F.col("block")).sortWithinPartitions("block").mapInArrow(merge, "block long, data binary").toArrow()
     out = np.zeros(size, np.int32)
-    for k, data in zip(summed["block"].to_pylist(), summed["data"].to_pylist(), strict=True):
+    for k, data in zip(summed["block"].to_pylist(), summed["data"], strict=True):
         n = min(BLOCK, size - k * BLOCK)
-        out[k * BLOCK : k * BLOCK + n] = np.frombuffer(pa.decompress(data, n * 4, "zstd"), np.int32)
+        out[k * BLOCK : k * BLOCK + n] = np.frombuffer(pa.decompress(data.as_py(), n * 4, "zstd"), np.int32)
     return out
 
 
+def weights(d: DataFrame, shared, sums) -> np.ndarray:
+    """Weights after a Newton step over all texts of ``d``; a task gives some 700 numbers."""
+
+    def run(batches):
+        total = np.zeros((GATES, 5, 6))
+        for b in batches:
+            code, tables = shared.value
+            for part in slices(b.column("text")):
+                total += sums(Batch(part, code), code, tables.left_out())
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size), pa.int32()), pa.array(total.ravel())], ["k", "w"])
+
+    total = np.zeros((GATES, 5, 6))
+    for r in d.select("text").mapInArrow(run, "k int, w double").groupBy("k").agg(F.sum("w").alias("w")).collect():
+        total.flat[r.k] = r.w
+    return newton(total)
+
+
 def slices(text: pa.Array, size: int = BATCH_BYTES // 4):
     """The array in parts of about ``size`` bytes."""
     text = as_array(text)
@@ -519,20 +564,11 @@ def fit(key: DataFrame, totals: DataFrame, n: int) -> Model:
         counts = np.append(counts, 1)
     rare = rare_words(totals, h)
     code = Code(h[order], order, Tree(counts), Tree(byte_totals(rare) + 1), len(c), end)
-    tables = Tables(bit_totals(key, rare, code))
-    sc = key.sparkSession.sparkContext
-    shared = sc.broadcast((code, tables))
-    texts_ = key.count()
-    by = F.xxhash64(F.col("id").cast("string"), "text")  # groups go by the rows alone, not by their partitions
-    grouped = key.select("text", by.alias("by"), F.pmod(F.xxhash64(by), F.lit(max(-(-texts_ // TUNE), 1))).alias("group"))
-
-    def run(t):
-        t = t.sort_by([("by", "ascending"), ("text", "ascending")])
-        w = np.concatenate([x.ravel() for x in tune(as_array(t["text"]), *shared.value)])
-        return pa.table({"k": np.arange(len(w)), "w": w.astype(float) * t.num_rows, "n": np.full(len(w), t.num_rows)})
-
-    got = grouped.groupBy("group").applyInArrow(run, "k long, w double, n long").groupBy("k").agg((F.sum("w") / F.sum("n")).alias("w")).orderBy("k").collect()
-    words, letters = np.array([r.w for r in got], np.float32).reshape(2, GATES, 5) if got else (first_weights(), first_weights())
+    bits = table_bits(n)
+    tables = Tables(bits, bit_totals(key, rare, code, bits))
+    shared = key.sparkSession.sparkContext.broadcast((code, tables))
+    words, letters = weights(key, shared, word_sums), weights(rare, shared, letter_sums)
+    shared.unpersist()
     return Model(code, tables.frozen(), words, letters)
 
 

@@ -471,20 +471,64 @@ def test_lm_scores_do_not_depend_on_partitions(spark, docs, monkeypatch):
 
 
 def test_lm_weights_take_all_training_texts(spark, tmp_path, monkeypatch):
-    """Every text goes through one run for the first weights, however many there are."""
-    own = lm_score.tune
+    """Every text takes part once in the sums of the first weights, however many tasks there are, which do not change the weights."""
+    own = lm_score.word_sums
 
-    def noted(text, *rest):
-        (tmp_path / uuid.uuid4().hex).write_text(str(len(text)))
-        return own(text, *rest)
+    def noted(batch, *rest):
+        (tmp_path / uuid.uuid4().hex).write_text(str(len(batch.off) - 1))
+        return own(batch, *rest)
 
     d = spark.createDataFrame([(i, f"w{i % 7} a{i} b{i % 3}") for i in range(700)], "id long, text string")
-    monkeypatch.setattr(lm_score, "TUNE", 100)
-    monkeypatch.setattr(lm_score, "tune", noted)
+    monkeypatch.setattr(lm_score, "word_sums", noted)
+    got = []
+    for n in (1, 7):
+        totals = lm_score.word_totals(d)
+        got.append(lm_score.fit(d.repartition(n, "text"), totals, 2800))
+        assert sum(int(x.read_text()) for x in tmp_path.iterdir()) == 700 * len(got)
+    assert np.allclose(got[0].words, got[1].words, atol=1e-5) and np.allclose(got[0].letters, got[1].letters, atol=1e-5)
+    assert not np.allclose(got[0].words, lm_score.first_weights())
+
+
+def test_lm_newton_step_matches_brute_force():
+    r = np.random.default_rng(5)
+    x, gate, bit = r.normal(size=(5, 400)).astype(np.float32), r.integers(0, 3, 400) * 7, r.integers(0, 2, 400)
+    total = np.zeros((lm_score.GATES, 5, 6))
+    for part in (slice(0, 150), slice(150, 400)):
+        lm_score.newton_sums(total, x[:, part], gate[part], bit[part])
+    want = np.full((lm_score.GATES, 5), 0.3)
+    for g in set(gate.tolist()):
+        grad, curve = np.zeros(5), 10 * np.eye(5)
+        for i in np.flatnonzero(gate == g):
+            p = 1 / (1 + np.exp(-0.3 * float(x[:, i].sum())))
+            grad += (bit[i] - p) * x[:, i]
+            curve += p * (1 - p) * np.outer(x[:, i], x[:, i])
+        want[g] += np.linalg.inv(curve) @ grad
+    assert np.allclose(lm_score.newton(total).T, want, atol=1e-4)
+
+
+def test_lm_scores_do_not_depend_on_neighbours(spark):
+    """A text costs the same alone and among texts whose blocks are more than one part holds; counts match a plain loop."""
+    own = [" ".join(f"w{(i * k) % 37}" for k in range(1, 100 + i % 3)) for i in range(300)]
+    d = spark.createDataFrame(list(enumerate(own)), "id long, text string")
     totals = lm_score.word_totals(d)
-    lm_score.fit(d, totals, 2800)
-    seen = [int(x.read_text()) for x in tmp_path.iterdir()]
-    assert sum(seen) == 700 and len(seen) == 7
+    n = totals.agg(F.sum("c")).first()[0]
+    model = lm_score.fit(d, totals, n)
+    together = model.costs(lm_score.Batch(pa.array(own), model.code))
+    alone = [model.costs(lm_score.Batch(pa.array([t]), model.code))[0] for t in own]
+    assert np.allclose(together, alone, rtol=1e-6)
+    tables = lm_score.Tables(lm_score.table_bits(n), np.zeros(2 * sum(1 << b for b in lm_score.table_bits(n)), np.int32))
+    batch = lm_score.Batch(pa.array(own), model.code)
+    lm_score.count_words(batch, model.code, tables)
+    want, mixer = np.zeros_like(tables.counts), lm_score.Mixer(tables, False)
+    owner, _, node, bit = model.code.words.expand(batch.ids)
+    for s in mixer.slots(batch.contexts, owner, node):
+        for at, b in zip(s.tolist(), bit.tolist(), strict=True):
+            want[2 * at + b] += 1
+    assert (tables.counts == want).all()
+
+
+def test_lm_tables_grow_with_the_training_tokens():
+    assert [lm_score.table_bits(10**k)[1] for k in (0, 6, 7, 8, 12)] == [20, 20, 21, 22, 22]
 
 
 def test_lm_code_is_a_distribution():
