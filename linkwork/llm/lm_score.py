@@ -53,6 +53,8 @@ VOCAB, KNOWN = 1 << 15, 1 << 18
 #: Bits of the slots of each predictor's table; those of the two word contexts (None) grow with the training tokens.
 WORD_BITS, BYTE_BITS, LEAST_BITS, MOST_BITS = (16, None, None, 18), (18, 19, 20, 20), 20, 22
 STEP = 64
+#: Words that are worked on at once (twice as many letters): what numpy holds of them fits a core's cache.
+PART = 1 << 12
 #: Spelled words that a worker remembers (and about as many more).
 SPELLED = 400_000
 END_HASH = np.int64(0x5F3C_91E2_77A1_0B4D)
@@ -86,14 +88,45 @@ class Tree:
         self.start = np.concatenate([[0], np.cumsum(self.length)])[:-1]
         self.node = np.array([x for p in paths for x in p[0]], np.uint32)
         self.bit = np.array([x for p in paths for x in p[1]], np.uint8)
+        # codes are cut in steps of at most four bits: the node that each begins with, and the bits' places in a subtree of 15 nodes
+        depth = np.arange(len(self.bit)) - np.repeat(self.start, self.length)
+        self.level, self.step = np.minimum(depth // 3, 3).astype(np.uint8), (depth // 4).astype(np.uint8)
+        self.sub = np.ones(len(self.bit), np.uint8)
+        for back in (1, 2, 3):
+            inner = np.flatnonzero(depth % 4 >= back)
+            self.sub[inner] += (1 << back - 1) + (self.bit[inner - back] << back - 1)
+        self.steps = -(-self.length // 4)
+        self.first = np.cumsum(self.steps) - self.steps
+        self.root = self.node[np.flatnonzero(depth % 4 == 0)]
+
+    def expand(self, symbols: np.ndarray) -> Bits:
+        n, m = self.length[symbols], self.steps[symbols]
+        ends, step_ends = np.cumsum(n), np.cumsum(m)
+        at = np.repeat(self.start[symbols] - ends + n, n)
+        at += np.arange(len(at))
+        step = np.repeat(step_ends - m, n)
+        step += self.step[at]
+        step_at = np.repeat(self.first[symbols] - step_ends + m, m)
+        step_at += np.arange(len(step_at))
+        return Bits(self, n, at, self.bit[at], self.sub[at], step, np.repeat(np.arange(len(symbols)), m), self.root[step_at])
 
-    def expand(self, symbols: np.ndarray):
-        """Owner, depth, node and bit of each bit of the symbols' codes."""
-        n = self.length[symbols]
-        owner = np.repeat(np.arange(len(symbols)), n)
-        depth = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-        at = self.start[symbols][owner] + depth
-        return owner, depth, self.node[at], self.bit[at]
+
+@dataclass
+class Bits:
+    """Bits of some symbols' codes: how many of each, their places in the tree's codes, the bits, places in their steps' subtrees, steps; and of each step its owner and first node."""
+
+    tree: Tree
+    n: np.ndarray
+    at: np.ndarray
+    bit: np.ndarray
+    sub: np.ndarray
+    step: np.ndarray
+    step_owner: np.ndarray
+    root: np.ndarray
+
+    def spread(self, values: np.ndarray) -> np.ndarray:
+        """The symbols' values, for each bit."""
+        return np.repeat(values, self.n)
 
 
 def slot(context: np.ndarray, node: np.ndarray, salt: int, bits: int) -> np.ndarray:
@@ -136,47 +169,37 @@ class Batch:
         n_docs = len(off) - 1
         self.off = off + np.arange(n_docs + 1)
         total = int(self.off[-1])
-        is_end = np.zeros(total, bool)
-        is_end[self.off[1:] - 1] = True
-        self.ids = np.full(total, code.end, np.int64)
-        self.ids[~is_end] = own[codes]
-        self.hash = np.full(total, END_HASH)
-        self.hash[~is_end] = hashes[codes]
-        self.word = np.full(total, -1, np.int64)
-        self.word[~is_end] = codes
         self.doc = np.repeat(np.arange(n_docs), np.diff(self.off))
         self.place = np.arange(total) - self.off[:-1][self.doc]
-        first = self.place == 0
-        # context of each word as the one before: its number, or how a spelled word ends
-        seen = np.where(own == code.escape, VOCAB + 8 + (last * 7 + second) % 512, own)
-        ending = np.select([last == b for b in b".,|!?*$"], range(1, 8), 8)
-        prev = np.full(total, VOCAB + 4, np.int64)
-        turn = np.zeros(total, np.int64)
-        before = np.flatnonzero(~first)
-        prev[before] = seen[self.word[before - 1]]
-        turn[before] = ending[self.word[before - 1]]
-        # the last common word before each place, and the one before that
-        at = np.where(self.ids < COMMON, np.arange(total), -1)
-        upto = np.maximum.accumulate(at) if total else at
-        upto = np.concatenate([[-1], upto[:-1]])[:total]
-        start = self.off[:-1][self.doc]
-        one = np.where(upto >= start, upto, -1)
-        two = np.where(one >= 0, upto[np.maximum(one, 0)], -1)
-        two = np.where(two >= start, two, -1)
-        number = lambda x: np.where(x >= 0, self.ids[np.maximum(x, 0)], COMMON)
-        self.contexts = [np.zeros(total, np.uint32), prev.astype(np.uint32), (number(one) * (COMMON + 1) + number(two)).astype(np.uint32), (turn * 32 + np.log2(self.place + 1).astype(np.int64)).astype(np.uint32)]
+        # the end is one more distinct word; as the word before, it is the start of the next text
+        self.word = np.full(total, len(words), np.int64)
+        self.word[np.arange(len(codes)) + np.repeat(np.arange(n_docs), np.diff(off))] = codes
+        self.ids = np.append(own, code.end)[self.word]
+        self.hash = np.append(hashes, END_HASH)[self.word]
+        # context of each word as the one before: its number, or how a spelled word ends; and how it ended
+        seen = np.append(np.where(own == code.escape, VOCAB + 8 + (last * 7 + second) % 512, own), VOCAB + 4).astype(np.uint32)
+        ending = np.append(np.select([last == b for b in b".,|!?*$"], range(1, 8), 8), 0).astype(np.uint32)
+        before = np.append(len(words), self.word)[:total]
+        # the last common word before each place, and the one before that, within the text: COMMON where there is none
+        common = np.append(np.where(own < COMMON, own, -1), COMMON)
+        value = common[self.word]
+        at = np.flatnonzero(value >= 0)
+        one = np.append(COMMON, value[at])
+        two = np.where(one == COMMON, COMMON, np.append(COMMON, one[:-1]))
+        pair = np.repeat((one * (COMMON + 1) + two).astype(np.uint32), np.diff(np.concatenate([[0], at + 1, [total]])))
+        turn = ending[before] * np.uint32(32) + np.log2(self.place + 1).astype(np.uint32)
+        self.contexts = [np.zeros(total, np.uint32), seen[before], pair, turn]
         # spelling, of distinct words only
         self.rare = np.flatnonzero(own == code.escape)
-        self.rare_row = np.full(len(words), -1, np.int64)
+        self.rare_row = np.full(len(words) + 1, -1, np.int64)
         self.rare_row[self.rare] = np.arange(len(self.rare))
         self.rare_hash = hashes[self.rare]
         self._bytes = (raw, w_off)
-        self.keep_rare(np.ones(len(self.rare), bool))
 
-    def keep_rare(self, keep: np.ndarray) -> None:
-        """Letters of the kept rare words, each closed by an end mark."""
+    def spell(self, keep: np.ndarray | None = None) -> None:
+        """Letters of all rare words or of the kept ones, each closed by an end mark."""
         raw, w_off = self._bytes
-        rare = self.rare[keep]
+        rare = self.rare if keep is None else self.rare[keep]
         lens = np.diff(w_off)[rare]
         self.letters = np.zeros(int(lens.sum() + len(lens)), np.int64)
         self.spell_off = np.concatenate([[0], np.cumsum(lens + 1)])
@@ -264,19 +287,27 @@ class Mixer:
     def __init__(self, tables: Tables, letters: bool):
         self.t, self.part = tables, 4 * letters
 
-    def slots(self, contexts: list[np.ndarray], owner: np.ndarray, node: np.ndarray) -> list[np.ndarray]:
-        return [self.slots_of(k, c[owner], node) for k, c in enumerate(contexts)]
+    def slots(self, contexts: list[np.ndarray], bits: Bits) -> list[np.ndarray]:
+        return [self.slots_of(k, c, bits) for k, c in enumerate(contexts)]
 
-    def slots_of(self, k: int, context: np.ndarray, node: np.ndarray) -> np.ndarray:
-        return slot(context, node, k, self.t.bits[self.part + k]).astype(np.int64) + self.t.offsets[self.part + k]
+    def slots_of(self, k: int, context: np.ndarray, bits: Bits) -> np.ndarray:
+        """A step's context is hashed once; its bits go to slots beside each other, by exclusive or with their places."""
+        base = slot(context[bits.step_owner], bits.root, k, self.t.bits[self.part + k]).astype(np.int64) + self.t.offsets[self.part + k]
+        base = base[bits.step]
+        base ^= bits.sub
+        return base
 
     def inputs(self, slots: list[np.ndarray], level: np.ndarray, left_out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Logits of the predictors (and a constant), a row each, and the gate of each bit; bits to leave out need the tables for it."""
+        """Logits of the predictors (and a constant), a row each, and the gate of each bit; bits to leave out need the tables for it. Overwrites ``slots``."""
         x = np.empty((5, len(level)), np.float32)
         x[4] = 0.3
+        gate = self.t.sure[slots[LEAD[self.part > 0]]] * np.uint8(4) + level
         for k, s in enumerate(slots):
-            np.take(self.t.logit, s if left_out is None else 2 * s + left_out, out=x[k], mode="clip")
-        return x, self.t.sure[slots[LEAD[self.part > 0]]].astype(np.int64) * 4 + level
+            if left_out is not None:
+                s *= 2
+                s += left_out
+            np.take(self.t.logit, s, out=x[k], mode="clip")
+        return x, gate
 
     @staticmethod
     def predict(x: np.ndarray, w: np.ndarray, row: np.ndarray, bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -296,31 +327,30 @@ class Mixer:
             w[k] += rate * np.bincount(row, error * x[k], w.shape[1]).astype(np.float32)
 
 
-def _level(depth: np.ndarray) -> np.ndarray:
-    return np.minimum(depth // 3, 3)
-
-
 def count_words(batch: Batch, code: Code, tables: Tables) -> None:
     """Adds the bits of the batch's words to the counts; a word that recurs in a context is looked up once."""
     mixer, size, symbols = Mixer(tables, False), 1 << 15, len(code.words.length)
     for k, context in enumerate(batch.contexts):
         pair, times = np.unique(context.astype(np.int64) * symbols + batch.ids, return_counts=True)
         for i in range(0, len(pair), size):
-            owner, _, node, bit = code.words.expand(pair[i : i + size] % symbols)
-            s = mixer.slots_of(k, (pair[i : i + size] // symbols).astype(np.uint32)[owner], node)
-            np.add.at(tables.counts, 2 * s + bit, times[i : i + size].astype(np.int32)[owner])
+            bits = code.words.expand(pair[i : i + size] % symbols)
+            s = mixer.slots_of(k, (pair[i : i + size] // symbols).astype(np.uint32), bits)
+            np.add.at(tables.counts, 2 * s + bits.bit, bits.spread(times[i : i + size].astype(np.int32)))
 
 
 def count_letters(batch: Batch, code: Code, tables: Tables) -> None:
     """Adds the bits of the batch's distinct rare words to the counts."""
-    mixer = Mixer(tables, True)
-    for a, b in _spell_chunks(batch):
-        owner, _, node, bit = code.letters.expand(batch.letters[a:b])
-        for s in mixer.slots(batch.spell_contexts(a, b), owner, node):
-            np.add.at(tables.counts, 2 * s + bit, np.int32(1))
+    mixer, symbols = Mixer(tables, True), len(code.letters.length)
+    batch.spell()
+    for a, b in _spell_chunks(batch, 1 << 17):
+        for k, context in enumerate(batch.spell_contexts(a, b)):
+            pair, times = np.unique(context.astype(np.int64) * symbols + batch.letters[a:b], return_counts=True)
+            bits = code.letters.expand(pair % symbols)
+            s = mixer.slots_of(k, (pair // symbols).astype(np.uint32), bits)
+            np.add.at(tables.counts, 2 * s + bits.bit, bits.spread(times.astype(np.int32)))
 
 
-def _spell_chunks(batch: Batch, size: int = 1 << 15):
+def _spell_chunks(batch: Batch, size: int = 2 * PART):
     """Ranges of letters of whole words."""
     a = 0
     while a < len(batch.letters):
@@ -336,20 +366,21 @@ def first_weights() -> np.ndarray:
 def word_sums(batch: Batch, code: Code, tables: Tables) -> np.ndarray:
     """``newton_sums`` of the batch's words."""
     mixer, total = Mixer(tables, False), np.zeros((GATES, 5, 6))
-    for a in range(0, len(batch.ids), 1 << 14):
-        owner, depth, node, bit = code.words.expand(batch.ids[a : a + (1 << 14)])
-        x, gate = mixer.inputs(mixer.slots([c[a : a + (1 << 14)] for c in batch.contexts], owner, node), _level(depth), bit)
-        newton_sums(total, x, gate, bit)
+    for a in range(0, len(batch.ids), PART):
+        bits = code.words.expand(batch.ids[a : a + PART])
+        x, gate = mixer.inputs(mixer.slots([c[a : a + PART] for c in batch.contexts], bits), bits.tree.level[bits.at], bits.bit)
+        newton_sums(total, x, gate, bits.bit)
     return total
 
 
 def letter_sums(batch: Batch, code: Code, tables: Tables) -> np.ndarray:
     """``newton_sums`` of the letters of the batch's distinct rare words."""
     mixer, total = Mixer(tables, True), np.zeros((GATES, 5, 6))
+    batch.spell()
     for a, b in _spell_chunks(batch):
-        owner, _, node, bit = code.letters.expand(batch.letters[a:b])
-        x, gate = mixer.inputs(mixer.slots(batch.spell_contexts(a, b), owner, node), np.minimum(batch.spell_place[a:b], 3)[owner], bit)
-        newton_sums(total, x, gate, bit)
+        bits = code.letters.expand(batch.letters[a:b])
+        x, gate = mixer.inputs(mixer.slots(batch.spell_contexts(a, b), bits), bits.spread(np.minimum(batch.spell_place[a:b], 3)), bits.bit)
+        newton_sums(total, x, gate, bits.bit)
     return total
 
 
@@ -358,12 +389,18 @@ def newton_sums(total: np.ndarray, x: np.ndarray, gate: np.ndarray, bit: np.ndar
     z = np.clip(0.3 * x.sum(0), -12, 12)
     p = 1 / (1 + np.exp(-z))
     order = np.argsort(gate.astype(np.uint8), kind="stable")
-    x, error, curve = x[:, order], (bit - p)[order], (p * (1 - p))[order]
     edge = np.concatenate([[0], np.cumsum(np.bincount(gate, minlength=GATES))])
+    # in doubles, so that the order of the texts does not show in the weights
+    own = np.empty((6, len(order)))
+    for k in range(5):
+        own[k] = x[k][order]
+    own[5] = (bit - p)[order]
+    curve = (p * (1 - p)).astype(np.float64)[order]
+    bent = own[:5] * curve
     for g in np.flatnonzero(np.diff(edge)):
-        own = x[:, edge[g] : edge[g + 1]].astype(np.float64)  # so that the order of the texts does not show in the weights
-        total[g, :, :5] += (own * curve[edge[g] : edge[g + 1]]) @ own.T
-        total[g, :, 5] += own @ error[edge[g] : edge[g + 1]]
+        at = slice(edge[g], edge[g + 1])
+        total[g, :, :5] += bent[:, at] @ own[:5, at].T
+        total[g, :, 5] += own[:5, at] @ own[5, at]
 
 
 def newton(total: np.ndarray) -> np.ndarray:
@@ -388,7 +425,7 @@ class Model:
         out = np.zeros(len(batch.rare_hash))
         out[old] = known[at[old]]
         if not old.all():
-            batch.keep_rare(~old)
+            batch.spell(~old)
             out[~old] = self._spell(batch)
             if len(names) < SPELLED:
                 names, known = np.concatenate([names, batch.rare_hash[~old]]), np.concatenate([known, out[~old]])
@@ -400,10 +437,10 @@ class Model:
         out = [np.zeros(0)]
         m = Mixer(self.tables, True)
         for a, b in _spell_chunks(batch):
-            owner, _, node, bit = self.code.letters.expand(batch.letters[a:b])
-            x, gate = m.inputs(m.slots(batch.spell_contexts(a, b), owner, node), np.minimum(batch.spell_place[a:b], 3)[owner])
-            cost, _ = m.predict(x, self.letters, gate, bit)
-            word = batch.spell_word[a:b][owner] - batch.spell_word[a]
+            bits = self.code.letters.expand(batch.letters[a:b])
+            x, gate = m.inputs(m.slots(batch.spell_contexts(a, b), bits), bits.spread(np.minimum(batch.spell_place[a:b], 3)))
+            cost, _ = m.predict(x, self.letters, gate, bits.bit)
+            word = bits.spread(batch.spell_word[a:b] - batch.spell_word[a])
             out.append(np.bincount(word, cost, int(batch.spell_word[b - 1] - batch.spell_word[a]) + 1))
         return np.concatenate(out)
 
@@ -424,15 +461,16 @@ class Model:
             docs = batch.doc[order[a:z]]
             while a < z:
                 # parts of a block end between texts, so that a text learns once, after its block, whatever its neighbours
-                end = z if z - a <= 1 << 14 else a + int(np.searchsorted(docs, docs[1 << 14], "left"))
+                end = z if z - a <= PART else a + int(np.searchsorted(docs, docs[PART], "left"))
                 at, doc = order[a:end], docs[: end - a]
-                owner, depth, node, bit = self.code.words.expand(batch.ids[at])
-                x, gate = m.inputs(m.slots([c[at] for c in batch.contexts], owner, node), _level(depth))
+                bits = self.code.words.expand(batch.ids[at])
+                x, gate = m.inputs(m.slots([c[at] for c in batch.contexts], bits), bits.tree.level[bits.at])
                 low, high = int(doc[0]), int(doc[-1]) + 1
-                row = (doc - low)[owner] * GATES + gate
+                near = bits.spread(doc - low)
+                row = near * GATES + gate
                 own = weights[:, low * GATES : high * GATES]
-                cost, error = m.predict(x, own, row, bit)
-                total[low:high] += np.bincount((doc - low)[owner], cost, high - low)
+                cost, error = m.predict(x, own, row, bits.bit)
+                total[low:high] += np.bincount(near, cost, high - low)
                 m.learn(own, x, row, error, self.rate)
                 docs, a = docs[end - a :], end
         return total
@@ -542,7 +580,7 @@ def weights(d: DataFrame, shared, sums) -> np.ndarray:
     return newton(total)
 
 
-def slices(text: pa.Array, size: int = BATCH_BYTES // 4):
+def slices(text: pa.Array, size: int = BATCH_BYTES // 8):
     """The array in parts of about ``size`` bytes."""
     text = as_array(text)
     at = np.cumsum(pc.binary_length(text).to_numpy().astype(np.int64)) // size

@@ -520,13 +520,28 @@ def test_lm_scores_do_not_depend_on_neighbours(spark):
     batch = lm_score.Batch(pa.array(own), model.code)
     lm_score.count_words(batch, model.code, tables)
     want, mixer = np.zeros_like(tables.counts), lm_score.Mixer(tables, False)
-    owner, _, node, bit = model.code.words.expand(batch.ids)
-    for s in mixer.slots(batch.contexts, owner, node):
-        for at, b in zip(s.tolist(), bit.tolist(), strict=True):
+    bits = model.code.words.expand(batch.ids)
+    for s in mixer.slots(batch.contexts, bits):
+        for at, b in zip(s.tolist(), bits.bit.tolist(), strict=True):
             want[2 * at + b] += 1
     assert (tables.counts == want).all()
 
 
+def test_lm_steps_give_each_node_of_a_context_one_slot():
+    """Places in a step's subtree are those of a walk down the code, so a node always meets the same slot in a context."""
+    tree = lm_score.Tree(np.arange(1, 400))
+    for a, n in zip(tree.start.tolist(), tree.length.tolist(), strict=True):
+        for d in range(n):
+            at = 1
+            for b in tree.bit[a + d // 4 * 4 : a + d].tolist():
+                at = 2 * at + b
+            assert tree.sub[a + d] == at
+    bits = tree.expand(np.arange(399))
+    mixer = lm_score.Mixer(lm_score.Tables(lm_score.table_bits(0), None), False)
+    slots, node = mixer.slots_of(1, np.full(399, 7, np.uint32), bits), tree.node[bits.at]
+    assert len(set(zip(node.tolist(), slots.tolist(), strict=True))) == len(set(node.tolist())) == 398
+
+
 def test_lm_tables_grow_with_the_training_tokens():
     assert [lm_score.table_bits(10**k)[1] for k in (0, 6, 7, 8, 12)] == [20, 20, 21, 22, 22]
 
