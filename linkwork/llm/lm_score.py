@@ -36,6 +36,7 @@ rows are scored each; other columns are not looked at.
 
 from __future__ import annotations
 
+import ctypes
 import heapq
 from dataclasses import dataclass
 from functools import partial
@@ -235,10 +236,10 @@ def stretch(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
 
 
 class Tables:
-    """Counts of zeros and ones in the slots of all predictors, and the logits made of them."""
+    """Counts of zeros and ones in the slots of all predictors, or logits made of them (of half precision, which is what executors get)."""
 
     def __init__(self, bits: tuple[int, ...], counts: np.ndarray):
-        self.bits, self.counts, self.left = bits, counts, None
+        self.bits, self.counts = bits, counts
         self.sizes = [1 << b for b in bits]
         self.offsets = np.concatenate([[0], np.cumsum(self.sizes)])
 
@@ -251,25 +252,22 @@ class Tables:
         """Logits and sureness of each slot, for scoring."""
         n = len(self.counts) // 2
         out = Tables(self.bits, None)
-        out.logit, out.sure = np.empty(n, np.float32), np.empty(n, np.uint8)
+        out.logit, out.sure = np.empty(n, np.float16), np.empty(n, np.uint8)
         for at, c in self._pieces():
             out.logit[at] = stretch(c[:, 0], c[:, 1])
             out.sure[at] = sureness(c.sum(1))
         return out
 
     def left_out(self) -> Tables:
-        """The same with one bit less: logits by slot and by the bit that is left out. Made once a worker, in place of the counts."""
-        if self.left is not None:
-            return self.left
+        """The same with one bit less, for learning: logits by slot and by the bit that is left out."""
         n = len(self.counts) // 2
         out = Tables(self.bits, None)
-        out.logit, out.sure = np.empty((n, 2), np.float32), np.empty(n, np.uint8)
+        out.logit, out.sure = np.empty((n, 2), np.float16), np.empty(n, np.uint8)
         for at, c in self._pieces():
             less = np.maximum(c - 1, 0)
             out.logit[at, 0], out.logit[at, 1] = stretch(less[:, 0], c[:, 1]), stretch(c[:, 0], less[:, 1])
             out.sure[at] = sureness(np.maximum(c.sum(1) - 1, 0))
         out.logit = out.logit.reshape(-1)
-        self.left, self.counts = out, None
         return out
 
 
@@ -306,7 +304,7 @@ class Mixer:
             if left_out is not None:
                 s *= 2
                 s += left_out
-            np.take(self.t.logit, s, out=x[k], mode="clip")
+            x[k] = self.t.logit[s]
         return x, gate
 
     @staticmethod
@@ -491,6 +489,7 @@ def word_totals(key: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(word_hashes(words).view(np.int64)), words, pa.array(np.bincount(codes, minlength=len(words)).astype(np.int64))], ["h", "word", "c"])
         if docs:
             yield pa.RecordBatch.from_arrays([pa.array([END_HASH]), pa.array([""]), pa.array([docs], pa.int64())], ["h", "word", "c"])
+        release()
 
     return materialise(key.mapInArrow(run, "h long, word string, c long").groupBy("h", "word").agg(F.sum("c").alias("c")))
 
@@ -538,6 +537,8 @@ def bit_totals(key: DataFrame, rare: DataFrame, code: Code, bits: tuple[int, ...
             own = tables.counts[i : i + BLOCK]
             if own.any():
                 yield row(i // BLOCK, own)
+        del tables
+        release()
 
     def merge(batches):
         held, total = None, None
@@ -571,7 +572,8 @@ def weights(d: DataFrame, shared, sums) -> np.ndarray:
         for b in batches:
             code, tables = shared.value
             for part in slices(b.column("text")):
-                total += sums(Batch(part, code), code, tables.left_out())
+                total += sums(Batch(part, code), code, tables)
+        release()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size), pa.int32()), pa.array(total.ravel())], ["k", "w"])
 
     total = np.zeros((GATES, 5, 6))
@@ -580,6 +582,14 @@ def weights(d: DataFrame, shared, sums) -> np.ndarray:
     return newton(total)
 
 
+def release() -> None:
+    """Gives what a task's worker has freed back to the system: idle workers keep no more than their broadcasts."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(text: pa.Array, size: int = BATCH_BYTES // 8):
     """The array in parts of about ``size`` bytes."""
     text = as_array(text)
@@ -604,7 +614,7 @@ def fit(key: DataFrame, totals: DataFrame, n: int) -> Model:
     code = Code(h[order], order, Tree(counts), Tree(byte_totals(rare) + 1), len(c), end)
     bits = table_bits(n)
     tables = Tables(bits, bit_totals(key, rare, code, bits))
-    shared = key.sparkSession.sparkContext.broadcast((code, tables))
+    shared = key.sparkSession.sparkContext.broadcast((code, tables.left_out()))
     words, letters = weights(key, shared, word_sums), weights(rare, shared, letter_sums)
     shared.unpersist()
     return Model(code, tables.frozen(), words, letters)
@@ -644,6 +654,7 @@ def score(docs: DataFrame, folds: int = 10, id_col: str = "doc_id") -> DataFrame
                 )
                 start += n_docs
                 row += n_docs
+        release()
 
     scored = materialise(key.mapInArrow(run, f"id {kind}, row long, n_tokens long, n_top long, base_top double, score double, bits_per_byte double, rest array<long>"))
     # the words outside the broadcast counts get theirs by a join; equal words meet as a few rows of each task
