@@ -314,10 +314,13 @@ class Mixer:
         for k in range(1, len(x)):
             z += x[k] * w[k][row]
         np.clip(z, -12, 12, out=z)
-        z *= 1 - 2 * bit.astype(np.float32)  # for the bit that came: the lower, the likelier
+        sign = 1 - 2 * bit.astype(np.float32)
+        z *= sign  # for the bit that came: the lower, the likelier
         e = np.exp(-np.abs(z))
-        wrong = np.where(z >= 0, 1, e) / (1 + e)
-        return np.log1p(e) + np.maximum(z, 0), np.where(bit == 1, wrong, -wrong)
+        both = 1 + e
+        wrong = np.where(z >= 0, 1, e)
+        wrong /= both
+        return np.log(both) + np.maximum(z, 0), -sign * wrong
 
     @staticmethod
     def learn(w: np.ndarray, x: np.ndarray, row: np.ndarray, error: np.ndarray, rate: float) -> None:
