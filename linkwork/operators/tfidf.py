@@ -55,12 +55,12 @@ def group_cosine(pairs: DataFrame, s1: DataFrame, s23: DataFrame, text: str) ->
 
 
 def semantic(pairs: DataFrame, s1: DataFrame, s23: DataFrame, k: tuple[int, int, int] = (30, 30, 30)) -> DataFrame:
-    """Cosines of name, address and both for every pair, with the flags of the best k of each."""
+    """Cosines of name, address and both for every pair, with the flags of the best k of each; equal to nine places is a tie, by rid."""
     text = lambda d: d.select("id", F.col("normalized_name").alias("name"), F.col("normalized_address").alias("address"), F.concat_ws(" ", "normalized_name", "normalized_address").alias("combined"))
     a, b, out = text(s1), text(s23), pairs.select("s1", "rid")
     for field, top in zip(("name", "address", "combined"), k, strict=True):
         c = group_cosine(pairs, a, b, field).withColumnRenamed("cosine", f"semantic_{field}_score")
-        rank = F.row_number().over(Window.partitionBy("s1").orderBy(F.desc(f"semantic_{field}_score"), "rid"))
+        rank = F.row_number().over(Window.partitionBy("s1").orderBy(F.desc(F.round(f"semantic_{field}_score", 9)), "rid"))
         out = out.join(c.withColumn(f"retrieved_semantic_{field}", rank <= top), ["s1", "rid"])
     return out
 

@@ -381,7 +381,25 @@ def tfidf_group_cosine(spark, sf):
     return tfidf.group_cosine(blocking.geo_pool(*geo(a, b)), a, b, "normalized_name").select("s1", "rid", r6(F.col("cosine")).alias("cosine"))
 
 
-@query()
+def _cosine_sql(t: str, c: str) -> str:
+    """Tables ending in ``t`` that lead to the cosine of each pair (table cos_t) by the grams of column ``c``, weighted within each pool."""
+    g = lambda side: _grams_wb(f"{side}.{c}")
+    return f""", cg_{t} AS (SELECT s1, rid, g, count(*) AS tf FROM (SELECT s1, rid, unnest({g("y")}) AS g FROM pool JOIN y ON y.id = rid) GROUP BY ALL),
+  w_{t} AS (SELECT s1, g, ln((1 + any_value(n)) / (1.0 + count(*))) + 1 AS idf FROM cg_{t} JOIN pooled USING (s1) GROUP BY s1, g),
+  cw_{t} AS (SELECT s1, rid, g, tf * idf AS x, sqrt(sum((tf * idf) * (tf * idf)) OVER (PARTITION BY s1, rid)) AS l FROM cg_{t} JOIN w_{t} USING (s1, g)),
+  qg_{t} AS (SELECT s1, g, count(*) AS tf FROM (SELECT x.id AS s1, unnest({g("x")}) AS g FROM x) GROUP BY ALL),
+  qw_{t} AS (SELECT s1, g, tf * idf AS x, sqrt(sum((tf * idf) * (tf * idf)) OVER (PARTITION BY s1)) AS l FROM qg_{t} JOIN w_{t} USING (s1, g)),
+  dot_{t} AS (SELECT s1, rid, sum(cw_{t}.x / cw_{t}.l * qw_{t}.x / qw_{t}.l) AS c FROM cw_{t} JOIN qw_{t} USING (s1, g) GROUP BY ALL),
+  cos_{t} AS (SELECT s1, rid, coalesce(c, 0) AS c, row_number() OVER (PARTITION BY s1 ORDER BY round(coalesce(c, 0), 9) DESC, rid) AS k FROM pool LEFT JOIN dot_{t} USING (s1, rid))"""
+
+
+SEMANTIC = dict(zip(("name", "address", "combined"), ("nn", "na", "both"), strict=True))
+
+
+@query(W + NORM + GEO + ", x AS (SELECT *, nn || ' ' || na AS both FROM a), y AS (SELECT *, nn || ' ' || na AS both FROM b), pooled AS (SELECT s1, count(*) AS n FROM pool GROUP BY s1)"
+    + "".join(_cosine_sql(t, c) for t, c in SEMANTIC.items())
+    + " SELECT s1, rid, " + ", ".join(f"round(cos_{t}.c, 6) AS semantic_{t}_score, cos_{t}.k <= {k} AS retrieved_semantic_{t}" for t, k in zip(SEMANTIC, CFG.semantic_k, strict=True))
+    + " FROM cos_name JOIN cos_address USING (s1, rid) JOIN cos_combined USING (s1, rid)")
 def semantic_topk(spark, sf):
     a, b = records(spark, sf)
     s = tfidf.semantic(blocking.geo_pool(*geo(a, b)), a, b, CFG.semantic_k)
