@@ -238,7 +238,22 @@ def sim_exact_prefix_conflict(spark, sf):
     return part_pairs(spark, sf).select("x", "y", sim.exact(x, y).alias("same"), sim.prefix_match(x, y).alias("start"), sim.conflict(x, y).alias("differs"), sim.edge_match(x, y, 5, True).alias("ends"))
 
 
-@query()
+#: Rows of the table of longest common subsequences, a letter of ``a`` at a time; ``v`` has the pairs of texts to compare.
+_LCS = """r AS (SELECT a, b, 0 AS i, list_transform(range(0, length(b) + 1), lambda j: 0::BIGINT) AS row FROM v
+  UNION ALL SELECT a, b, i + 1, list_concat([0::BIGINT], list_transform(range(1, length(b) + 1), lambda j: greatest(row[j + 1],
+    list_max(list_transform(range(1, j + 1), lambda k: CASE WHEN substr(b, k, 1) = substr(a, i + 1, 1) THEN row[k] + 1 ELSE 0 END))))) FROM r WHERE i < length(a)),
+l AS (SELECT a, b, row[length(b) + 1] AS n FROM r WHERE i = length(a))"""
+_WORDS = "list_distinct(string_split({}, ' '))"
+_REST = "array_to_string(list_sort(list_filter(" + _WORDS + ", lambda w: NOT list_contains(string_split({}, ' '), w))), ' ')"
+
+
+@query(PAIRS.replace("WITH n", "WITH RECURSIVE n", 1) + f""",
+q AS (SELECT x, y, array_to_string(list_sort(string_split(x, ' ')), ' ') AS sx, array_to_string(list_sort(string_split(y, ' ')), ' ') AS sy,
+  length(array_to_string(list_intersect({_WORDS.format("x")}, {_WORDS.format("y")}), ' ')) AS s, {_REST.format("x", "y")} AS dx, {_REST.format("y", "x")} AS dy FROM p),
+v AS (SELECT sx AS a, sy AS b FROM q UNION SELECT dx, dy FROM q), {_LCS},
+m AS (SELECT q.*, (s > 0)::INT AS gap, length(dx) AS nx, length(dy) AS ny, t.n AS whole, d.n AS part FROM q JOIN l t ON t.a = sx AND t.b = sy JOIN l d ON d.a = dx AND d.b = dy)
+SELECT x, y, round(2.0 * whole / (length(sx) + length(sy)), 6) AS sort_ratio, round(CASE WHEN s > 0 AND (nx = 0 OR ny = 0) THEN 1.0::DOUBLE ELSE greatest(1 - (nx + ny - 2 * part)::DOUBLE / (2 * s + 2 * gap + nx + ny),
+  CASE WHEN s > 0 THEN 1 - (gap + nx)::DOUBLE / (2 * s + gap + nx) END, CASE WHEN s > 0 THEN 1 - (gap + ny)::DOUBLE / (2 * s + gap + ny) END) END, 6) AS set_ratio FROM m""")
 def sim_token_sort_set(spark, sf):
     a, b = F.split("x", " "), F.split("y", " ")
     return part_pairs(spark, sf).select("x", "y", r6(sim.token_sort_ratio(a, b)).alias("sort_ratio"), r6(sim.token_set_ratio(a, b)).alias("set_ratio"))
