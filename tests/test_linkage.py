@@ -69,6 +69,17 @@ def test_geo_queries_keep_whole_pools(spark):
     assert blocking.geo_pool(*blocking.geo_keys(q, pool)).count() == 8000
 
 
+def test_rare_token_ties_by_id(spark):
+    """Equal weights summed in another order differ in the last bit; such candidates tie."""
+    idf = spark.createDataFrame([("x", 0.1), ("y", 0.2), ("z", 0.3), ("u", 0.2), ("v", 0.4)], "token string, idf double")
+    words = ["x", "y", "z", "u", "v"]
+    q, geo = spark.createDataFrame([("q", words)], "id string, w array<string>"), "id string, geo_key string"
+    own = spark.createDataFrame([("c1", ["u", "v"]), ("c2", ["x", "y", "z"])], "id string, w array<string>")
+    keys = spark.createDataFrame([("c1", ""), ("c2", "")], geo)
+    got = blocking.item_topk(q, own, spark.createDataFrame([("q", "")], geo), keys, "w", 1, "idf", idf).collect()
+    assert [(r.rid, round(r.score, 9)) for r in got] == [("c1", 0.6)]
+
+
 def test_relative_features(spark):
     df = spark.createDataFrame([("a", "1", 0.9), ("a", "2", 0.5), ("a", "3", 0.5), ("b", "1", 0.7)], "s1 string, rid string, s double")
     r = {(x.s1, x.rid): x for x in features.relative_features(df, "s").collect()}
