@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_linkage import test_queries_match_sql as match_sql
 
 from linkwork.functions.similarity import jaro_winkler_of
-from linkwork.operators import blocking, evaluation, pools
+from linkwork.operators import blocking, evaluation, features, pools
 from linkwork.queries import QUERIES, linkage
 
 POOLED = ["cheap_features", "cheap_rank_fallback", "cheap_topk", "feat_contradiction", "feat_address", "feat_name", "feat_missing", "feat_crossfield", "feat_relative", "hard_negatives", "sample_weights", "hand_rule", "macro_f05", "matching_idlist", "validate_long", "best_threshold", "error_categories", "prune_topk"]
@@ -55,6 +55,19 @@ def test_r6_is_round(spark):
     assert all(x == y or x != x for x, y in df.select(linkage.r6(F.col("c")), F.round("c", 6)).collect())
 
 
+def test_cross_source_of_pools(spark):
+    """What pairs give, with copies and ties, once a key; candidates of a key without the other source have no support."""
+    names = [("2a", "S2", "blue hill"), ("2b", "S2", "blue hill"), ("2c", "S2", ""), ("2d", "S2", "zz"), ("3a", "S3", "blue hills"), ("3b", "S3", "blue bill"), ("3c", "S3", "blue hall"), ("3d", "S3", "")]
+    b = spark.createDataFrame(names, "id string, source string, normalized_name string")
+    queries = spark.createDataFrame([("q1", "x"), ("q2", "x"), ("q3", "y")], "id string, geo_key string")
+    places = spark.createDataFrame([(r[0], "x") for r in names] + [("2a", "y"), ("2d", "y")], "id string, geo_key string")
+    pairs = blocking.geo_pool(queries, places).join(b.select(F.col("id").alias("rid"), "source"), "rid")
+    rows = lambda d: sorted((r.s1, r.rid, round(r.cross_source_support, 9), r.neighbor_match_count) for r in d.collect())
+    got = features.cross_source_of_pools(queries, places, b)
+    assert rows(got) == rows(features.cross_source_features(pairs, b)) and got.count() == 18
+    assert "normalized_name" not in "".join(x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning(s1#" in x)
+
+
 def test_sweep_by_counts(spark):
     labels = spark.createDataFrame([("a", "1", 1), ("a", "2", 0), ("b", "1", 1), ("c", "9", 1)], "s1 string, rid string, label int")
     scores = spark.createDataFrame([("a", "1", 0.55), ("a", "2", 0.9), ("b", "1", 0.01), ("d", "4", 0.049)], "s1 string, rid string, score double")
