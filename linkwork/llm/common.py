@@ -6,6 +6,7 @@ words and the offset of each document in it.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import tempfile
@@ -44,6 +45,26 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def release() -> None:
+    """Gives what a task's worker has freed back to the system: idle workers keep no more than their broadcasts."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(run):
+    """``run`` for ``mapInArrow``, at the end of which the worker, which waits for other tasks, gives back what it has freed."""
+
+    def held(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return held
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; a temporary one only where that is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)
@@ -226,4 +247,4 @@ def with_word_counts(df: DataFrame, name: str = "size") -> DataFrame:
             n = word_counts(b.column(at))
             yield pa.RecordBatch.from_arrays([c for i, c in enumerate(b.columns) if i != at] + [pa.array(n)], names=keep + [name])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)

@@ -25,6 +25,10 @@ of at least ``percent``/100, exactly; the result is connected components.
    opened. A large bucket is split into pairs of its parts, and a pair is taken
    in the first bucket that both have. Pairs that survive, here and in the
    rounds, are verified on their shingles, so nothing is lost.
+5. Before all of those pairs are taken, each node is compared with the ``NEAR``
+   of the largest bounds in the largest of its buckets. So texts that few others
+   are alike to, but of which chains hold together a large group, mostly become
+   one class for some pairs a node.
 
 Defined results: null, empty and wordless texts have no shingles and link with
 nothing (component: the own id); with fewer words than a shingle the whole
@@ -41,14 +45,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import encode, materialise, mix64, parts, prepare, space_words, texts, word_hashes
+from .common import encode, lean, materialise, mix64, parts, prepare, space_words, texts, word_hashes
 
 #: Groups of the count vectors, points of a leaf, bytes of text that Python works on at once.
 GROUPS, LEAF, SLICE = 256, 48, 2 << 20
 #: Of a node's buckets those that tell where a pair has met before.
 EARLY = 24
-#: Ways to deal a set to groups before its least shingles are taken; rounds of leaders.
-SALTS, ROUNDS = 6, 2
+#: Ways to deal a set to groups before its least shingles are taken; rounds: of leaders, of the nearest, of the rest.
+SALTS, ROUNDS = 6, 3
+#: Others that a node is compared with in a round of the nearest.
+NEAR = 3
 #: Rows of node ids up to which they are broadcast to pick their texts; beyond, the join shuffles.
 BROADCAST_NODES = 1_000_000
 #: Members that are compared with one leader in a task, and nodes of a part of a bucket.
@@ -165,7 +171,7 @@ def signatures(key: DataFrame, width: int, percent: int) -> DataFrame:
                 vec.append(count_vector(u, GROUPS))
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(bucket, pa.list_(pa.int64())), pa.array(vec, pa.binary()), b.column("hash")], ["id", "node", "n", "buckets", "vec", "hash"])
 
-    return key.mapInArrow(run, f"id {kind}, node long, n long, buckets array<long>, vec binary, hash long")
+    return key.mapInArrow(lean(run), f"id {kind}, node long, n long, buckets array<long>, vec binary, hash long")
 
 
 def met_nodes(sig: DataFrame) -> DataFrame:
@@ -200,7 +206,7 @@ def met_nodes(sig: DataFrame) -> DataFrame:
         if len(sh):
             yield give(sh, node, lead, several, True)[0]
 
-    return rows.mapInArrow(run, "sh long, node long, lead long")
+    return rows.mapInArrow(lean(run), "sh long, node long, lead long")
 
 
 def leaders(rows: DataFrame) -> DataFrame:
@@ -254,7 +260,7 @@ def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
                 ok = (reach * (100 + percent) >= percent * (n + m)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
                 yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(lean(run), "a long, b long")
 
 
 def verify(body: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -283,7 +289,7 @@ def verify(body: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataF
                         links.append((int(a[i]), int(node[i])))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
 
-    return materialise(rows.select("a", "part", "node", "text").mapInArrow(run, "a long, b long"))
+    return materialise(rows.select("a", "part", "node", "text").mapInArrow(lean(run), "a long, b long"))
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -368,9 +374,32 @@ def first_buckets(early: list) -> np.ndarray:
     return out
 
 
-def rest_pairs(live: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of different classes in one bucket that the R-tree's bounds leave. A bucket of over PART nodes goes to tasks as pairs of its parts."""
-    early = live.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("sh")), 1, EARLY).alias("early"))
+def bounds(p: np.ndarray, q: np.ndarray, n: np.ndarray, vec: np.ndarray) -> np.ndarray:
+    """Of each pair of points the largest share of their sizes that their overlap can be."""
+    out = np.zeros(len(p))
+    for k in range(0, len(p), 1 << 14):
+        x, y = p[k : k + (1 << 14)], q[k : k + (1 << 14)]
+        out[k : k + (1 << 14)] = np.minimum(vectors(vec[x], GROUPS), vectors(vec[y], GROUPS)).sum(1, dtype=np.int64) / (n[x] + n[y])
+    return out
+
+
+def nearest(p: np.ndarray, q: np.ndarray, bound: np.ndarray, asks: np.ndarray, most: int) -> np.ndarray:
+    """Which of the pairs (p, q) are among the ``most`` of the largest bound of a side that asks."""
+    side, other, at = np.concatenate([p, q]), np.concatenate([q, p]), np.tile(np.arange(len(p)), 2)
+    ok = asks[side]
+    side, other, at = side[ok], other[ok], at[ok]
+    order = np.lexsort((other, -bound[at], side))
+    side = side[order]
+    place = np.arange(len(side)) - np.searchsorted(side, side)
+    return np.unique(at[order][place < most])
+
+
+def rest_pairs(live: DataFrame, points: DataFrame, percent: int, most: int | None = None) -> DataFrame:
+    """(a, b): pairs of different classes in one bucket that the R-tree's bounds leave; with ``most``, of each node only those of the largest bounds in its largest bucket. A bucket of over PART nodes goes to tasks as pairs of its parts."""
+    if most is None:
+        early = live.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("sh")), 1, EARLY).alias("early"))
+    else:
+        early = live.groupBy("node").agg(F.array(F.max(F.struct("size", "sh"))["sh"]).alias("early"))
     points = points.join(early, "node")
     cut = F.ceil(F.col("size") / PART).cast("int")
     rows = live.select("sh", "node", "cls", cut.alias("cut"), F.pmod(F.xxhash64("node", F.lit("part")), cut).cast("int").alias("own"))
@@ -384,11 +413,16 @@ def rest_pairs(live: DataFrame, points: DataFrame, percent: int) -> DataFrame:
             a, b = [], []
             for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 m = i + int(np.searchsorted(own[i:j], x[i], "right")) if x[i] != y[i] else j
-                trees = [RTree(vectors(vec[p:q], GROUPS), n[p:q], cls[p:q], first_buckets(early[p:q])) for p, q in ((i, m), (m, j)) if q > p]
+                trees = [RTree(vectors(vec[p:q], GROUPS), n[p:q], cls[p:q], first_buckets(early[p:q]) if most is None else None) for p, q in ((i, m), (m, j)) if q > p]
                 if x[i] == y[i] or len(trees) == 2:
                     p, q = trees[0].pairs(percent, trees[1] if len(trees) == 2 else None, int(sh[i]))
-                    a.append(node[i + p])
-                    b.append(node[(m if len(trees) == 2 else i) + q])
+                    p, q = p + i, q + (m if len(trees) == 2 else i)
+                    if most is not None:
+                        asks = np.array([e[0] == sh[i] for e in early[i:j]], bool)
+                        few = nearest(p - i, q - i, bounds(p, q, n, vec), asks, most)
+                        p, q = p[few], q[few]
+                    a.append(node[p])
+                    b.append(node[q])
             a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
             both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
@@ -408,7 +442,7 @@ def rest_pairs(live: DataFrame, points: DataFrame, percent: int) -> DataFrame:
         if held is not None:
             yield of(*held)
 
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return rows.mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def classes(key: DataFrame, width: int, percent: int, rounds: int | None = None) -> DataFrame:
@@ -425,7 +459,12 @@ def classes(key: DataFrame, width: int, percent: int, rounds: int | None = None)
         live = materialise(live_rows(live, known, k))
         if live.isEmpty():
             break
-        pairs = bounded(leaders(live.where("cls <> lead_cls")), points, percent) if k < rounds else rest_pairs(live, points, percent)
+        if k == rounds:
+            pairs = rest_pairs(live, points, percent)
+        elif k == 1:
+            pairs = bounded(leaders(live.where("cls <> lead_cls")), points, percent)
+        else:
+            pairs = rest_pairs(live, points, percent, NEAR)
         more = verify(body, pairs, width, percent)
         if not more.isEmpty():
             links = links.unionByName(more)

@@ -555,3 +555,36 @@ def test_lm_code_is_a_distribution():
 def test_no_swallowed_imports():
     source = open(re.sub(r"tests.*", "corpus_pipeline.py", __file__)).read()
     assert "except" not in source
+
+
+def test_join_takes_few_pairs_of_a_group_of_which_few_are_alike(spark, monkeypatch):
+    r = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(160):  # some 3 words changed in each: few pairs are alike
+        own = [f"x{i}y{k}" if r.random() < 0.02 else w for k, w in enumerate(base)]
+        rows.append((i, " ".join(own)))
+    sets = [{tuple(t.split()[k : k + 4]) for k in range(147)} for _, t in rows]
+    root = list(range(160))
+    alike = [(a, b) for a in range(160) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    for _ in root:
+        for a, b in alike:
+            root[a] = root[b] = min(root[a], root[b])
+    assert 500 < len(alike) < 160 * 159 // 4
+    taken, rest = [], ngram_join.rest_pairs
+    monkeypatch.setattr(ngram_join, "rest_pairs", lambda *a: taken.append(rest(*a)) or taken[-1])
+    got = {x.doc_id: x.component_id for x in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict(enumerate(root))
+    assert sum(t.count() for t in taken) < len(alike)
+
+
+def test_lean_tasks_give_memory_back(monkeypatch):
+    from linkwork.llm import common
+
+    gone = []
+    monkeypatch.setattr(common, "release", lambda: gone.append(1))
+    assert list(common.lean(lambda batches: (b + 1 for b in batches))([1, 2])) == [2, 3] and gone == [1]
+    half = common.lean(lambda batches: iter(batches))([1, 2])
+    next(half)
+    half.close()
+    assert gone == [1, 1]
