@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_RE, alnum_words, ascii_lower, parts, prepare, texts
+from .common import ALNUM_RE, alnum_words, ascii_lower, lean, parts, prepare, texts
 
 #: Words of the items that one automaton may hold (some hundred bytes each).
 MAX_WORDS = 1_000_000
@@ -206,7 +206,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
                 ["id", "n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated", "spans"],
             )
 
-    out = key.mapInArrow(scan, f"id {kind}, n_words long, n_hit long, n_items long, items array<string>, items_sha256 string, contaminated boolean, spans array<long>")
+    out = key.mapInArrow(lean(scan), f"id {kind}, n_words long, n_hit long, n_items long, items array<string>, items_sha256 string, contaminated boolean, spans array<long>")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -256,4 +256,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_c
                 columns[at] = pc.if_else(changed, pc.utf8_length(pa.array(new, pa.string())).cast(columns[at].type), columns[at])
             yield pa.RecordBatch.from_arrays(columns, names=b.schema.names).filter(pa.array(keep))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return docs.mapInArrow(lean(clean), docs.schema)

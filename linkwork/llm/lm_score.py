@@ -36,7 +36,6 @@ rows are scored each; other columns are not looked at.
 
 from __future__ import annotations
 
-import ctypes
 import heapq
 from dataclasses import dataclass
 from functools import partial
@@ -48,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BATCH_BYTES, as_array, crc_mod, encode, materialise, prepare, segment_sums, space_words, texts, word_bytes, word_hashes
+from .common import BATCH_BYTES, as_array, crc_mod, encode, materialise, prepare, release, segment_sums, space_words, texts, word_bytes, word_hashes
 
 VOCAB, KNOWN = 1 << 15, 1 << 18
 #: Bits of the slots of each predictor's table; those of the two word contexts (None) grow with the training tokens.
@@ -585,14 +584,6 @@ def weights(d: DataFrame, shared, sums) -> np.ndarray:
     return newton(total)
 
 
-def release() -> None:
-    """Gives what a task's worker has freed back to the system: idle workers keep no more than their broadcasts."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
 def slices(text: pa.Array, size: int = BATCH_BYTES // 8):
     """The array in parts of about ``size`` bytes."""
     text = as_array(text)

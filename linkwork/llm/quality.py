@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_array, crc_mod, encode, mix64, parts, prepare, segment_sums, space_words, texts, word_bytes, word_hashes
+from .common import as_array, crc_mod, encode, lean, mix64, parts, prepare, segment_sums, space_words, texts, word_bytes, word_hashes
 
 BUCKETS = 1 << 16
 #: Labelled rows that the model is fitted on, at most.
@@ -162,7 +162,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
             idx, cnt = bag(as_array(b.column("text")))
             yield pa.RecordBatch.from_arrays([b.column("id").cast(pa.string()), b.column("y"), pa.array(idx, pa.list_(pa.int32())), pa.array(cnt, pa.list_(pa.int32()))], ["id", "y", "idx", "cnt"])
 
-    got = labelled(docs, labels, label, folds, id_col, max_train).mapInArrow(featurise, "id string, y int, idx array<int>, cnt array<int>").toArrow()
+    got = labelled(docs, labels, label, folds, id_col, max_train).mapInArrow(lean(featurise), "id string, y int, idx array<int>, cnt array<int>").toArrow()
     got = got.sort_by("id")
     arrays = lambda c: [np.asarray(x.values) for x in got[c]]
     return sgd(arrays("idx"), arrays("cnt"), got["y"].to_numpy().astype(np.int64), **how)
@@ -179,7 +179,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, folds: int = 5,
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(shared.value.score(b.column("text")))], ["id", "score"])
 
-    out = key.mapInArrow(run, f"id {kind}, score double")
+    out = key.mapInArrow(lean(run), f"id {kind}, score double")
     return out.select(F.col("id").alias(id_col), (crc_mod(F.col("id"), folds) == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
@@ -193,4 +193,4 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFram
         for b in batches:
             yield b.filter(pa.array(shared.value.score(b.column(at)) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
