@@ -68,3 +68,9 @@ def test_sweep_by_counts(spark):
     labelled = scores.join(labels, ["s1", "rid"], "left").na.fill(0)
     rows = lambda d: [tuple(r) for r in d.collect()]
     assert rows(evaluation.sweep_threshold(labelled, labels)) == rows(evaluation.sweep_threshold(scores, labels))
+
+
+@pytest.mark.parametrize("name", ["topk_token", "topk_char4", "topk_concat"])
+def test_no_row_is_made_for_a_shared_item(spark, sf, name):
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "geo_key" in plan and "item#" not in plan
