@@ -74,3 +74,8 @@ def test_sweep_by_counts(spark):
 def test_no_row_is_made_for_a_shared_item(spark, sf, name):
     plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "geo_key" in plan and "item#" not in plan
+
+
+def test_channels_are_counted_without_the_pool(spark, sf, monkeypatch):
+    monkeypatch.setattr(blocking, "geo_pool", lambda *a: pytest.fail("all pairs are made"))
+    QUERIES["channel_contribution"](spark, sf)
