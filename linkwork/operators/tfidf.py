@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -122,6 +124,8 @@ def get_backend(name: str):
 
 #: Query vectors that are broadcast at once.
 QUERY_BLOCK = 1 << 14
+#: Queries, and rows, of one matrix of scores.
+STEP = 1024
 
 
 def dense_topk(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
@@ -138,10 +142,62 @@ def dense_topk(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
     return out
 
 
-def _block_topk(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
-    from ..functions.similarity import cosine
+def _units(column) -> np.ndarray:
+    """Rows of unit length; zeros where a vector has no length or lacks a number."""
+    rows = column.to_pylist()
+    d = max((len(x) for x in rows if x is not None), default=0)
+    ok = [x is not None and len(x) == d and None not in x for x in rows]
+    out = np.array([x if good else [0.0] * d for x, good in zip(rows, ok, strict=True)], np.float64).reshape(len(rows), d)
+    size = np.sqrt((out * out).sum(1, keepdims=True))
+    return np.divide(out, size, out=np.zeros_like(out), where=size > 0)
+
+
+class _Best:
+    """The best k of each query among the rows that ``add`` has seen: by the score to six places, then the least id."""
+
+    def __init__(self, ids: np.ndarray, unit: np.ndarray, k: int):
+        self.ids, self.unit, self.k = ids, unit, k
+        self.least = np.full(len(ids), -np.inf)
+        self.q, self.rid, self.score = np.zeros(0, np.int64), ids[:0], np.zeros(0)
+
+    def add(self, rid: np.ndarray, unit: np.ndarray) -> None:
+        s = self.unit @ unit.T if unit.shape[1] == self.unit.shape[1] else np.zeros((len(self.ids), len(rid)))
+        least = self.least
+        if len(rid) > self.k + 1 and np.isinf(least).any():  # one more, as a query may meet itself
+            least = np.maximum(least, np.partition(s, len(rid) - self.k - 1, axis=1)[:, len(rid) - self.k - 1])
+        q, at = np.nonzero(s >= (least - 2e-6)[:, None])
+        other = rid[at] != self.ids[q]
+        q, at = q[other], at[other]
+        if not len(q):
+            return
+        exact = s[q, at]
+        q, rid = np.concatenate([self.q, q]), np.concatenate([self.rid, rid[at]])
+        score = np.concatenate([self.score, np.sign(exact) * np.floor(np.abs(exact) * 1e6 + 0.5) / 1e6])
+        order = np.lexsort((np.unique(rid, return_inverse=True)[1], -score, q))
+        q = q[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        order, last = order[place < self.k], order[place == self.k - 1]
+        self.least[q[place == self.k - 1]] = score[last]
+        self.q, self.rid, self.score = q[place < self.k], rid[order], score[order]
+
 
-    both = index.select(F.col("id").alias("rid"), F.col("vector").alias("v")).crossJoin(F.broadcast(queries.select(F.col("id").alias("qid"), F.col("vector").alias("q"))))
-    scored = both.where("rid <> qid").select("qid", "rid", F.round(cosine(F.col("q"), F.col("v")), 6).alias("score"))
+def _block_topk(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
+    """Every task keeps the best k of each query among its rows, so that only those are dealt by query."""
+    asked = queries.select("id", "vector").toArrow().combine_chunks()
+    kind = index.schema["id"].dataType.simpleString()
+    shared = index.sparkSession.sparkContext.broadcast((asked["id"].to_numpy(), _units(asked["vector"])))  # QUERY_BLOCK rows or about
+
+    def run(batches):
+        ids, unit = shared.value
+        best = [_Best(ids[i : i + STEP], unit[i : i + STEP], k) for i in range(0, len(ids), STEP)]
+        for b in batches:
+            rid, rows = b.column(0).to_numpy(zero_copy_only=False), _units(b.column(1))
+            for i in range(0, len(rid), STEP):
+                for x in best:
+                    x.add(rid[i : i + STEP], rows[i : i + STEP])
+        for x in best:
+            yield pa.RecordBatch.from_arrays([pa.array(x.ids[x.q]), pa.array(x.rid), pa.array(x.score)], ["qid", "rid", "score"])
+
+    scored = index.select("id", "vector").mapInArrow(run, f"qid {kind}, rid {kind}, score double")
     rank = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "rid"))
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)

@@ -3,12 +3,13 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_linkage import test_queries_match_sql as match_sql
 
 from linkwork.functions.similarity import jaro_winkler_of
-from linkwork.operators import blocking, evaluation, features, pools
+from linkwork.operators import blocking, evaluation, features, pools, tfidf
 from linkwork.queries import QUERIES, linkage
 
 POOLED = ["cheap_features", "cheap_rank_fallback", "cheap_topk", "feat_contradiction", "feat_address", "feat_name", "feat_missing", "feat_crossfield", "feat_relative", "hard_negatives", "sample_weights", "hand_rule", "macro_f05", "matching_idlist", "validate_long", "best_threshold", "error_categories", "prune_topk"]
@@ -79,3 +80,21 @@ def test_no_row_is_made_for_a_shared_item(spark, sf, name):
 def test_channels_are_counted_without_the_pool(spark, sf, monkeypatch):
     monkeypatch.setattr(blocking, "geo_pool", lambda *a: pytest.fail("all pairs are made"))
     QUERIES["channel_contribution"](spark, sf)
+
+
+def test_dense_topk_keeps_the_best_of_a_task(spark, sf):
+    plan = QUERIES["dense_cosine_topk"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan
+    rng = np.random.default_rng(2)
+    rows = np.concatenate([rng.normal(size=(300, 8)), np.tile(rng.normal(size=8), (200, 1)), np.zeros((3, 8))])[rng.permutation(503)]
+    unit = tfidf._units(pa.array(rows.tolist()))
+    ids = np.arange(503)
+    best = tfidf._Best(ids[::7], unit[::7], 5)
+    for i in range(0, 503, 40):
+        best.add(ids[i : i + 40], unit[i : i + 40])
+    got = {}
+    for q, r in zip(best.q.tolist(), best.rid.tolist(), strict=True):
+        got.setdefault(q, []).append(r)
+    score = np.round(unit @ unit.T, 6)
+    for n, q in enumerate(ids[::7].tolist()):
+        assert got[n] == sorted((r for r in range(503) if r != q), key=lambda r: (-score[q, r], r))[:5]
