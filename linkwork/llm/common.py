@@ -53,6 +53,12 @@ def release() -> None:
         trim(0)
 
 
+def settle(spark: SparkSession) -> None:
+    """The driver gives back what its Python and its JVM have freed, so that one does not hold what the other needs."""
+    release()
+    spark.sparkContext._jvm.System.gc()
+
+
 def lean(run):
     """``run`` for ``mapInArrow``, at the end of which the worker, which waits for other tasks, gives back what it has freed."""
 
@@ -82,6 +88,7 @@ def materialise(df: DataFrame, *partition_by: str) -> DataFrame:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    settle(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

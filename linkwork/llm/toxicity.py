@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_array, crc_mod, encode, materialise, mix64, parts, prepare, segment_sums, space_words, texts, word_bytes, word_hashes
+from .common import as_array, crc_mod, encode, materialise, mix64, parts, prepare, segment_sums, settle, space_words, texts, word_bytes, word_hashes
 from .quality import labelled
 
 #: Labelled examples, at most (half of each label where there are enough).
@@ -122,9 +122,10 @@ class BlockMaxIndex:
         self.dense = np.zeros((blocks, len(common), size), np.float32)
         at = own >= 0
         self.dense[row[at] // size, own[at], row[at] % size] = w[at]
+        del own
         self.top = np.ascontiguousarray(self.dense.max(2).T)
         row, term, w = row[~at], term[~at], w[~at]
-        order = np.lexsort((row, term))
+        order = np.lexsort((row, term)).astype(np.int32)
         self.row, self.w = row[order].astype(np.int32), w[order].astype(np.float32)
         self.post = np.searchsorted(term[order], np.arange(n_terms + 1))
         self.opened = 0
@@ -196,14 +197,16 @@ def build_index(doc: np.ndarray, term: np.ndarray, w: np.ndarray, n_terms: int,
     w = w / np.sqrt(np.bincount(doc, w * w, len(y))).astype(np.float32)[doc]
     off = np.searchsorted(doc, np.arange(len(y) + 1))
     # examples of one leading term, of those that can fill a block, stand together
-    order = np.lexsort((w, doc))
+    order = np.lexsort((w, doc)).astype(np.int32)
     order = order[np.bincount(term, minlength=n_terms)[term[order]] >= 32]
     lead = np.full(len(y), -1)
     lead[doc[order]] = term[order]
+    del order
     rows = np.flatnonzero(np.diff(off))
     rows = rows[np.lexsort((rows, lead[rows]))]
-    at = ranges(off[rows], off[rows + 1])
-    vectors = np.repeat(np.arange(len(rows)), np.diff(off)[rows]), term[at].astype(np.int32), w[at], n_terms
+    at = ranges(off[rows], off[rows + 1]).astype(np.int32)
+    vectors = np.repeat(np.arange(len(rows), dtype=np.int32), np.diff(off)[rows]), term[at].astype(np.int32), w[at], n_terms
+    del at, w, doc, term
     return BlockMaxIndex(vectors, y[rows].astype(float), weight[rows], [ids[i] for i in rows])
 
 
@@ -301,7 +304,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5
     term = np.searchsorted(terms, lists.flatten().to_numpy()).astype(np.int32)
     tf = (1 + np.log(n)).astype(np.float32)
     del got, lists, n
-    pa.default_memory_pool().release_unused()
+    settle(spark)
     shares = {r.y: r["count"] for r in labels.where(F.col(label).isNotNull() & (crc_mod(F.col("doc_id"), folds) != 0)).groupBy(F.col(label).cast("int").alias("y")).count().collect()} if len(y) else {}
     prior = shares.get(1, 0) / max(sum(shares.values()), 1)
     weight = np.where(y == 1, prior / max(y.mean(), 1e-9), (1 - prior) / max(1 - y.mean(), 1e-9)) if len(y) else np.zeros(0)
@@ -320,10 +323,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5
 
     own = totals.mapInArrow(among, "h long, c long").toArrow()
     df = np.zeros(len(terms))
-    df[np.searchsorted(terms, own["h"].to_numpy())] = own["c"].to_numpy()
+    df_at = np.searchsorted(terms, own["h"].to_numpy())
+    df[df_at] = own["c"].to_numpy()
+    del own, df_at
+    settle(spark)  # what the examples' terms take in Python comes on top of the JVM
     own_weight = weigh(df) * term_factors(doc, term, y, len(terms))
     index = build_index(doc, term, tf * own_weight[term].astype(np.float32), len(terms), y, weight, ids)
     del doc, term, tf
+    settle(spark)
     # the frequencies from the least one of which there are not too many
     least = commonest(totals, known)
     top = totals.where(F.col("c") >= least).toArrow().sort_by("h")

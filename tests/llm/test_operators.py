@@ -588,3 +588,17 @@ def test_lean_tasks_give_memory_back(monkeypatch):
     next(half)
     half.close()
     assert gone == [1, 1]
+
+
+def full_collections(spark) -> int:
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    return sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+
+
+def test_toxicity_fit_gives_the_drivers_memory_back(spark):
+    """Before and after the index is made, the driver's JVM and Python give back what they have freed."""
+    docs = spark.createDataFrame([(i, f"word{i % 7} common text{i}") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    before = full_collections(spark)
+    toxicity.fit(docs, labels)
+    assert full_collections(spark) - before >= 4
