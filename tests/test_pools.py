@@ -98,3 +98,49 @@ def test_dense_topk_keeps_the_best_of_a_task(spark, sf):
     score = np.round(unit @ unit.T, 6)
     for n, q in enumerate(ids[::7].tolist()):
         assert got[n] == sorted((r for r in range(503) if r != q), key=lambda r: (-score[q, r], r))[:5]
+
+
+@pytest.mark.parametrize("name", ["feat_relative", "hand_rule", "macro_f05", "prune_topk"])
+def test_no_pair_is_shuffled_for_a_rank(spark, sf, name):
+    """Pairs are neither dealt nor sorted: what is dealt by entity are counts."""
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert not [x for x in plan if "Window" in x or "hashpartitioning(s1#" in x and "rid#" in x]
+    dealt = [x for x in plan if "hashpartitioning(s1#" in x]
+    assert not dealt or name == "macro_f05" and not [x for x in plan if "keys=[s1#" in x and "rid#" in x]
+
+
+def test_relative_of_rows():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 60):
+        score = rng.integers(0, 6, (5, n)) / 4
+        got = pools.relative(score)
+        for i, x in enumerate(score):
+            order = sorted(range(n), key=lambda j: (-x[j], j))
+            assert [int(got["rank"][i, j]) for j in order] == list(range(1, n + 1))
+            assert np.allclose(got["percentile"][i], [(np.sum(x < v) + 1 + (np.sum(x == v) - 1) / 2) / n for v in x])
+            top = [*sorted(x)[::-1], 0.0]
+            assert (got["best_score"][i, 0], got["second_best_score"][i, 0]) == (top[0], top[1])
+
+
+def test_rounded_as_spark(spark):
+    x = np.concatenate([np.arange(4000) / 1024 + 0.0, np.random.default_rng(4).random(3000), (np.arange(3000) * 2 + 1) / 2e9, (np.arange(3000) * 2 + 1) / 2e6])
+    for places in (6, 9):
+        want = spark.createDataFrame(pa.table({"x": x})).select(F.round("x", places)).toArrow().column(0).to_numpy()
+        assert np.array_equal(pools.rounded(x, places), want)
+
+
+def test_rows_in_chunks(spark, sf, monkeypatch):
+    """Small chunks and blocks change no rank; ties of the pruning score to six places go to the first id."""
+    want = {n: sorted(map(tuple, QUERIES[n](spark, sf).collect())) for n in ("feat_relative", "prune_topk")}
+    monkeypatch.setattr(pools, "CHUNK", 7)
+    monkeypatch.setattr(pools, "ROOM", 50)
+    for n, rows in want.items():
+        assert sorted(map(tuple, QUERIES[n](spark, sf).collect())) == rows
+
+
+def test_macro_f05_counted(spark):
+    labels = spark.createDataFrame([("a", "1", 1), ("a", "2", 0), ("b", "1", 1), ("c", "9", 0)], "s1 string, rid string, label int")
+    found = spark.createDataFrame([("a", "1", 1), ("a", "2", 0), ("d", "4", 0)], "s1 string, rid string, label int")
+    assert evaluation.macro_f05_counted(found, labels).collect() == evaluation.macro_f05(found, labels).collect()
+    none = evaluation.macro_f05_counted(found.limit(0), labels.limit(0)).collect()
+    assert none == evaluation.macro_f05(found.limit(0), labels.limit(0)).collect() and len(none) == 1
