@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_array, crc_mod, encode, lean, mix64, parts, prepare, segment_sums, space_words, texts, word_bytes, word_hashes
+from .common import as_array, crc_mod, encode, lean, mix64, parts, prepare, segment_sums, settle, space_words, texts, word_bytes, word_hashes
 
 BUCKETS = 1 << 16
 #: Labelled rows that the model is fitted on, at most.
@@ -165,7 +165,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
     got = labelled(docs, labels, label, folds, id_col, max_train).mapInArrow(lean(featurise), "id string, y int, idx array<int>, cnt array<int>").toArrow()
     got = got.sort_by("id")
     arrays = lambda c: [np.asarray(x.values) for x in got[c]]
-    return sgd(arrays("idx"), arrays("cnt"), got["y"].to_numpy().astype(np.int64), **how)
+    settle(docs.sparkSession)
+    model = sgd(arrays("idx"), arrays("cnt"), got["y"].to_numpy().astype(np.int64), **how)
+    del got
+    settle(docs.sparkSession)
+    return model
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3, folds: int = 5, id_col: str = "doc_id") -> DataFrame:

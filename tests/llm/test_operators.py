@@ -602,3 +602,11 @@ def test_toxicity_fit_gives_the_drivers_memory_back(spark):
     before = full_collections(spark)
     toxicity.fit(docs, labels)
     assert full_collections(spark) - before >= 4
+
+
+def test_quality_fit_gives_the_drivers_memory_back(spark):
+    docs = spark.createDataFrame([(i, f"word{i % 7} common text{i}") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    before = full_collections(spark)
+    quality.fit(docs, labels)
+    assert full_collections(spark) - before >= 2
