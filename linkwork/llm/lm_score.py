@@ -59,6 +59,8 @@ PART = 1 << 12
 SPELLED = 400_000
 END_HASH = np.int64(0x5F3C_91E2_77A1_0B4D)
 BLOCK = 1 << 16
+#: All numbers of half precision, by their bits: looked up sooner than cast.
+HALF = np.arange(1 << 16, dtype=np.uint16).view(np.float16).astype(np.float32)
 COMMON = 256
 
 
@@ -105,10 +107,10 @@ class Tree:
         at = np.repeat(self.start[symbols] - ends + n, n)
         at += np.arange(len(at))
         step = np.repeat(step_ends - m, n)
-        step += self.step[at]
+        step += self.step.take(at, mode="clip")
         step_at = np.repeat(self.first[symbols] - step_ends + m, m)
         step_at += np.arange(len(step_at))
-        return Bits(self, n, at, self.bit[at], self.sub[at], step, np.repeat(np.arange(len(symbols)), m), self.root[step_at])
+        return Bits(self, n, at, self.bit.take(at, mode="clip"), self.sub.take(at, mode="clip"), step, np.repeat(np.arange(len(symbols)), m), self.root[step_at])
 
 
 @dataclass
@@ -290,28 +292,51 @@ class Mixer:
     def slots_of(self, k: int, context: np.ndarray, bits: Bits) -> np.ndarray:
         """A step's context is hashed once; its bits go to slots beside each other, by exclusive or with their places."""
         base = slot(context[bits.step_owner], bits.root, k, self.t.bits[self.part + k]).astype(np.int64) + self.t.offsets[self.part + k]
-        base = base[bits.step]
+        base = base.take(bits.step, mode="clip")
         base ^= bits.sub
         return base
 
-    def inputs(self, slots: list[np.ndarray], level: np.ndarray, left_out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Logits of the predictors (and a constant), a row each, and the gate of each bit; bits to leave out need the tables for it. Overwrites ``slots``."""
+    def inputs(self, slots: list[np.ndarray], level: np.ndarray, left_out: np.ndarray | None = None, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Logits of the predictors (and a constant), a row each, and the gate of each bit; bits to leave out need the tables for it. Overwrites ``slots``, which lack the first predictor's where its logits are given."""
         x = np.empty((5, len(level)), np.float32)
         x[4] = 0.3
-        gate = self.t.sure[slots[LEAD[self.part > 0]]] * np.uint8(4) + level
-        for k, s in enumerate(slots):
+        skip = 0 if first is None else 1
+        gate = self.t.sure.take(slots[LEAD[self.part > 0] - skip], mode="clip")
+        gate *= np.uint8(4)
+        gate += level.astype(np.uint8)
+        if skip:
+            x[0] = first
+        half = self.t.logit.view(np.uint16)
+        for k, s in enumerate(slots, skip):
             if left_out is not None:
                 s *= 2
                 s += left_out
-            x[k] = self.t.logit[s]
+            np.take(HALF, half.take(s, mode="clip"), out=x[k], mode="clip")
         return x, gate
 
+    def word_inputs(self, contexts: list[np.ndarray], bits: Bits, left_out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """``inputs`` of words with their contexts, of which the first says nothing: its logits are those of the code's places."""
+        slots = [self.slots_of(k, contexts[k], bits) for k in range(1, len(contexts))]
+        return self.inputs(slots, bits.tree.level.take(bits.at, mode="clip"), left_out, self._plain(bits.tree, left_out is not None).take(bits.at, mode="clip"))
+
+    def _plain(self, tree: Tree, left_out: bool) -> np.ndarray:
+        """Logits of the predictor without a context at all places of the tree's codes, in their order; kept with the tables."""
+        kept = self.t.__dict__.setdefault("_plain", {})
+        if left_out not in kept:
+            bits = tree.expand(np.arange(len(tree.length)))
+            s = self.slots_of(0, np.zeros(len(tree.length), np.uint32), bits)
+            kept[left_out] = self.t.logit[2 * s + bits.bit if left_out else s].astype(np.float32)
+        return kept[left_out]
+
     @staticmethod
     def predict(x: np.ndarray, w: np.ndarray, row: np.ndarray, bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Cost in bits' natural logs, and the error of the prediction, with weights w[:, row]."""
-        z = x[0] * w[0][row]
+        z, own = np.take(w[0], row, mode="clip"), np.empty(len(row), np.float32)
+        z *= x[0]
         for k in range(1, len(x)):
-            z += x[k] * w[k][row]
+            np.take(w[k], row, out=own, mode="clip")
+            own *= x[k]
+            z += own
         np.clip(z, -12, 12, out=z)
         sign = 1 - 2 * bit.astype(np.float32)
         z *= sign  # for the bit that came: the lower, the likelier
@@ -331,7 +356,12 @@ def count_words(batch: Batch, code: Code, tables: Tables) -> None:
     """Adds the bits of the batch's words to the counts; a word that recurs in a context is looked up once."""
     mixer, size, symbols = Mixer(tables, False), 1 << 15, len(code.words.length)
     for k, context in enumerate(batch.contexts):
-        pair, times = np.unique(context.astype(np.int64) * symbols + batch.ids, return_counts=True)
+        if k:
+            pair, times = np.unique(context.astype(np.int64) * symbols + batch.ids, return_counts=True)
+        else:  # no context
+            times = np.bincount(batch.ids, minlength=symbols)
+            pair = np.flatnonzero(times)
+            times = times[pair]
         for i in range(0, len(pair), size):
             bits = code.words.expand(pair[i : i + size] % symbols)
             s = mixer.slots_of(k, (pair[i : i + size] // symbols).astype(np.uint32), bits)
@@ -366,9 +396,12 @@ def first_weights() -> np.ndarray:
 def word_sums(batch: Batch, code: Code, tables: Tables) -> np.ndarray:
     """``newton_sums`` of the batch's words."""
     mixer, total = Mixer(tables, False), np.zeros((GATES, 5, 6))
-    for a in range(0, len(batch.ids), PART):
-        bits = code.words.expand(batch.ids[a : a + PART])
-        x, gate = mixer.inputs(mixer.slots([c[a : a + PART] for c in batch.contexts], bits), bits.tree.level[bits.at], bits.bit)
+    # sums know no order, and words of one context meet the same slots
+    order = np.argsort(batch.contexts[LEAD[0]], kind="stable")
+    for a in range(0, len(order), PART):
+        at = order[a : a + PART]
+        bits = code.words.expand(batch.ids[at])
+        x, gate = mixer.word_inputs([c[at] for c in batch.contexts], bits, bits.bit)
         newton_sums(total, x, gate, bits.bit)
     return total
 
@@ -391,16 +424,15 @@ def newton_sums(total: np.ndarray, x: np.ndarray, gate: np.ndarray, bit: np.ndar
     order = np.argsort(gate.astype(np.uint8), kind="stable")
     edge = np.concatenate([[0], np.cumsum(np.bincount(gate, minlength=GATES))])
     # in doubles, so that the order of the texts does not show in the weights
-    own = np.empty((6, len(order)))
+    own, bent = np.empty((5, len(order))), np.empty((6, len(order)))
     for k in range(5):
-        own[k] = x[k][order]
-    own[5] = (bit - p)[order]
-    curve = (p * (1 - p)).astype(np.float64)[order]
-    bent = own[:5] * curve
+        own[k] = x[k].take(order, mode="clip")
+    curve = (p * (1 - p)).take(order, mode="clip").astype(np.float64)
+    np.multiply(own, curve, out=bent[:5])
+    bent[5] = (bit - p).take(order, mode="clip")
     for g in np.flatnonzero(np.diff(edge)):
         at = slice(edge[g], edge[g + 1])
-        total[g, :, :5] += bent[:, at] @ own[:5, at].T
-        total[g, :, 5] += own[:5, at] @ own[5, at]
+        total[g] += own[:, at] @ bent[:, at].T
 
 
 def newton(total: np.ndarray) -> np.ndarray:
@@ -464,7 +496,7 @@ class Model:
                 end = z if z - a <= PART else a + int(np.searchsorted(docs, docs[PART], "left"))
                 at, doc = order[a:end], docs[: end - a]
                 bits = self.code.words.expand(batch.ids[at])
-                x, gate = m.inputs(m.slots([c[at] for c in batch.contexts], bits), bits.tree.level[bits.at])
+                x, gate = m.word_inputs([c[at] for c in batch.contexts], bits)
                 low, high = int(doc[0]), int(doc[-1]) + 1
                 near = bits.spread(doc - low)
                 row = near * GATES + gate

@@ -610,3 +610,24 @@ def test_quality_fit_gives_the_drivers_memory_back(spark):
     before = full_collections(spark)
     quality.fit(docs, labels)
     assert full_collections(spark) - before >= 2
+
+
+def test_lm_inputs_of_words_without_slots_of_the_first_predictor(spark):
+    """op1_lm_scoring: logits of the code's places and looked-up halves are those of the slots, bit by bit."""
+    words = [f"w{i}" for i in range(40)]
+    hashes = lm_score.word_hashes(pa.array(words)).view(np.int64)
+    order = np.argsort(hashes)
+    code = lm_score.Code(hashes[order], order, lm_score.Tree(np.arange(1, 43)), lm_score.Tree(np.ones(257)), 40, 41)
+    rng = np.random.default_rng(2)
+    bits = lm_score.table_bits(0)
+    counted = lm_score.Tables(bits, rng.integers(0, 9, 2 * sum(1 << b for b in bits)).astype(np.int32))
+    batch = lm_score.Batch(pa.array([" ".join(rng.choice(words, 30)) for _ in range(5)]), code)
+    seen = code.words.expand(batch.ids)
+    level = seen.tree.level[seen.at]
+    for tables, out in ((counted.frozen(), None), (counted.left_out(), seen.bit)):
+        mixer = lm_score.Mixer(tables, False)
+        slots = mixer.slots(batch.contexts, seen)
+        x, gate = mixer.word_inputs(batch.contexts, seen, out)
+        assert (gate == tables.sure[slots[1]] * 4 + level).all()
+        for k, s in enumerate(slots):
+            assert (x[k] == tables.logit[s if out is None else 2 * s + out].astype(np.float32)).all()
